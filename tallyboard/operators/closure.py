@@ -19,7 +19,7 @@ def ancestors(seeds: DataFrame, edges: DataFrame, max_depth: int = 64) -> DataFr
     frontier = cut_lineage(seeds.select(F.col("node").alias("seed"), F.col("node").alias("anc"))
                            .distinct())
     found = frontier
-    edges = edges.select("node", "parent").distinct()
+    edges = cut_lineage(edges.select("node", "parent").distinct())  # scanned once, not per round
     for _ in range(max_depth):
         step = (frontier.join(edges, F.col("anc") == F.col("node"))
                 .select("seed", F.col("parent").alias("anc")).distinct())

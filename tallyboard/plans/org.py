@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.aggregates import joined_text
 from ..operators.closure import ancestors
 from ..operators.joins import salted_inner_join
+from ..sources.scratch import cut_lineage
 
 # Node types of the graph.
 ENTERPRISE, DEPARTMENT, USER = 9, 10, 11
@@ -35,8 +36,9 @@ def user_departments(edges: DataFrame, include_links: bool = True, max_depth: in
     """
     graph = org_edges(edges, include_links)
     is_user = F.col("node.type") == USER
-    direct = (graph.filter(is_user)
-              .select(F.col("node.id").alias("user"), F.col("parent").alias("seed")).distinct())
+    direct = cut_lineage(graph.filter(is_user)  # read three times below, scanned once
+                         .select(F.col("node.id").alias("user"), F.col("parent").alias("seed"))
+                         .distinct())
     above = ancestors(direct.select(F.col("seed").alias("node")), graph.filter(~is_user), max_depth)
     return (salted_inner_join(direct, above, ["seed"], spread_by=F.col("user"))
             .select(F.col("user").cast("string").alias("user_id"),
