@@ -7,6 +7,7 @@ is the bulk backfill; both run through the same expressions.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -36,30 +37,41 @@ class Span:
         """Rows that at least one report of the span looks at."""
         return F.col("ldate").between(F.lit(self.start - dt.timedelta(days - 1)), F.lit(self.end))
 
-    def spread(self, df: DataFrame, days: int = 1) -> DataFrame:
-        """Replace ``ldate`` by every report date whose trailing window holds it.
+    def on_report_dates(self, daily: DataFrame, keys: Sequence[str], sums: Sequence[str],
+                        days: int = 1) -> DataFrame:
+        """Trailing-window sums of ``daily`` per key, one row per report date with any row.
 
-        For one report date that is a constant; for one-day windows the date itself.
+        ``daily`` has one row per (``ldate``, key). For one report date this is a plain
+        aggregate. For many, a row is not repeated for each of its report dates: it enters
+        the running sum on its day and leaves it ``days`` later.
         """
+        inside = daily.filter(self.covers(days))
         if self.single:
-            return df.withColumn("ldate", F.lit(self.start))
+            return (inside.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+                    .withColumn("ldate", F.lit(self.start)))
         if days == 1:
-            return df
-        first = F.greatest(F.col("ldate"), F.lit(self.start))
-        last = F.least(F.date_add("ldate", days - 1), F.lit(self.end))
-        return df.withColumn("ldate", F.explode(F.sequence(first, last)))
-
-
-def running_total(deltas: DataFrame, keys: list[str], sums: list[str], end: dt.date) -> DataFrame:
-    """Sum of everything up to each day, one row per key and day from its first day on.
-
-    ``deltas`` holds at most one row per (ldate, key); a key's calendar is at most as long
-    as the span, so the running window is small for every key.
+            return inside.select("ldate", *keys, *sums)
+        enters = F.struct(F.greatest("ldate", F.lit(self.start)).alias("ldate"), F.lit(1).alias("sign"))
+        leaves = F.struct(F.date_add("ldate", days).alias("ldate"), F.lit(-1).alias("sign"))
+        change = F.explode(F.array(enters, leaves)).alias("c")
+        signed = [(F.col(c) * F.col("c.sign")).alias(c) for c in sums]
+        steps = (inside.withColumn("_rows", F.lit(1)).select(*keys, *sums, "_rows", change)
+                 .filter(F.col("c.ldate") <= F.lit(self.end))
+                 .select("c.ldate", *keys, *signed, (F.col("_rows") * F.col("c.sign")).alias("_rows"))
+                 .groupBy("ldate", *keys).agg(*[F.sum(c).alias(c) for c in (*sums, "_rows")]))
+        return running_total(steps, keys, [*sums, "_rows"], self.end).filter("_rows > 0").drop("_rows")
+
+
+def running_total(deltas: DataFrame, keys: Sequence[str], sums: Sequence[str], end: dt.date) -> DataFrame:
+    """Sum of everything up to each day, one row per key and day from its first day to ``end``.
+
+    ``deltas`` holds at most one row per (ldate, key). A total holds until the next delta,
+    so days in between are filled in without a calendar join; a key has at most as many
+    deltas as there are days, so the window is small for every key.
     """
-    calendar = (deltas.groupBy(*keys).agg(F.min("ldate").alias("_from"))
-                .withColumn("ldate", F.explode(F.sequence(F.col("_from"), F.lit(end))))
-                .drop("_from"))
-    w = Window.partitionBy(*keys).orderBy("ldate").rowsBetween(Window.unboundedPreceding, 0)
-    return (calendar.join(deltas, ["ldate", *keys], "left")
-            .select("ldate", *keys, *[F.sum(F.coalesce(F.col(c), F.lit(0))).over(w).alias(c)
-                                      for c in sums]))
+    by_day = Window.partitionBy(*keys).orderBy("ldate")
+    so_far = by_day.rowsBetween(Window.unboundedPreceding, 0)
+    last = F.coalesce(F.date_sub(F.lead("ldate").over(by_day), 1), F.lit(end))
+    steps = deltas.select("ldate", *keys, *[F.sum(F.coalesce(F.col(c), F.lit(0))).over(so_far).alias(c)
+                                            for c in sums], last.alias("_last"))
+    return steps.select(F.explode(F.sequence("ldate", "_last")).alias("ldate"), *keys, *sums)

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from ..operators.periods import Span
 from ..sources.store import Store
 from . import enterprise, rankings, usage
+from .files import merge_files
 from .model import Workspace
+from .org import user_departments
 from .rollups import activity_rollup, touch_rollup
 
 Job = Callable[[Workspace, Span], DataFrame]
@@ -39,6 +41,18 @@ JOBS: dict[str, Job] = {
 }
 
 ACTIVITY, TOUCHES = "daily_user_activity", "daily_file_touches"
+FROM_TOUCHES = (rankings.HOT_1D, rankings.HOT_7D, rankings.SPACES)
+
+
+def refresh_dimensions(store: Store, edges: DataFrame, current_files: DataFrame,
+                       legacy_files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rebuild and store the user-department bridge and the file dimension.
+
+    Runs before the metric jobs, which then read the stored tables.
+    """
+    store.replace(user_departments(edges), "user_dep")
+    store.replace(merge_files(current_files, legacy_files), "files")
+    return store.read_dimension("user_dep"), store.read_dimension("files")
 
 
 @dataclass(frozen=True)
@@ -61,12 +75,12 @@ class Backfill:
         if unknown:
             raise KeyError(f"unknown tasks: {unknown}")
         wanted = [t for t in JOBS if tasks is None or t in tasks]
-        ws = self.with_rollups(span, lookback)
+        ws = self.with_rollups(span, lookback, touches=any(t in FROM_TOUCHES for t in wanted))
         for part in ([span] if self.bulk else [Span.of(d) for d in span.dates()]):
             for task in wanted:
                 self.store.write_span(JOBS[task](ws, part), task, part)
 
-    def with_rollups(self, span: Span, lookback: int = 29) -> Workspace:
+    def with_rollups(self, span: Span, lookback: int = 29, touches: bool = True) -> Workspace:
         """Bring the roll-ups up to date; returns a workspace that reads them.
 
         The list of updated spaces looks at all history, so the first run folds all events
@@ -74,13 +88,21 @@ class Backfill:
         """
         store, events = self.store, self.ws.events
         eve = Span(span.start - dt.timedelta(lookback), span.start - dt.timedelta(1))
-        earlier = [d for d in eve.dates()
-                   if self.refresh or not store.exists(store.path(ACTIVITY, d))]
-        todo = Span(earlier[0] if earlier else span.start, span.end)
-        if not store.exists(store.path(TOUCHES)):
-            store.write_dates(touch_rollup(events.filter(F.col("ldate") < F.lit(todo.start))), TOUCHES)
-        wanted = events.filter(todo.covers())
-        store.write_span(activity_rollup(wanted), ACTIVITY, todo)
-        store.write_span(touch_rollup(wanted), TOUCHES, todo)
-        return self.ws.with_(activity=store.read(ACTIVITY), touches=store.read(TOUCHES),
-                             snapshot=store.snapshot)
+
+        def todo(table: str) -> Span:
+            missing = [d for d in eve.dates()
+                       if self.refresh or not store.exists(store.path(table, d))]
+            return Span(missing[0] if missing else span.start, span.end)
+
+        days = todo(ACTIVITY)
+        store.write_span(activity_rollup(events.filter(days.covers())), ACTIVITY, days)
+        ws = self.ws.with_(activity=store.read(ACTIVITY), snapshot=store.snapshot)
+        if not touches:
+            return ws
+        history = not store.exists(store.path(TOUCHES))
+        days = todo(TOUCHES)
+        if history:
+            before = events.filter(F.col("ldate") < F.lit(days.start))
+            store.write_dates(touch_rollup(before), TOUCHES)
+        store.write_span(touch_rollup(events.filter(days.covers())), TOUCHES, days)
+        return ws.with_(touches=store.read(TOUCHES))

@@ -106,41 +106,35 @@ def user_counts(ws: Workspace, presence: str, counters: Sequence[str], span: Spa
                 days: int) -> DataFrame:
     """Per (report date, user) counters over the trailing window of each report date."""
     if ws.activity is not None:
-        daily = (ws.activity.filter(span.covers(days)).filter(F.col(f"rows_{presence}") > 0)
+        daily = (ws.activity.filter(span.covers(days) & (F.col(f"rows_{presence}") > 0))
                  .select("ldate", "user_id", *counters))
     else:
         hits = ws.events.filter(span.covers(days)).filter(PRESENCE[presence]())
+        counts = [_counter(c) for c in counters]
         if span.single:
-            return (hits.groupBy("user_id").agg(*[_counter(c) for c in counters])
-                    .withColumn("ldate", F.lit(span.start)))
-        daily = hits.groupBy("ldate", "user_id").agg(*[_counter(c) for c in counters])
-        if days == 1:
-            return daily
-    return (span.spread(daily, days).groupBy("ldate", "user_id")
-            .agg(*[F.sum(c).alias(c) for c in counters]))
+            return hits.groupBy("user_id").agg(*counts).withColumn("ldate", F.lit(span.start))
+        daily = hits.groupBy("ldate", "user_id").agg(*counts)
+    return span.on_report_dates(daily, ["user_id"], list(counters), days)
 
 
 def user_active_days(ws: Workspace, span: Span, days: int) -> DataFrame:
     """Per (report date, user): on how many days of the window the user did anything."""
     source = ws.activity if ws.activity is not None else ws.events
-    seen = source.filter(span.covers(days)).select("ldate", "user_id").distinct()
-    return span.spread(seen, days).groupBy("ldate", "user_id").agg(
-        F.count(F.lit(1)).alias("active_days"))
+    seen = (source.filter(span.covers(days)).select("ldate", "user_id").distinct()
+            .withColumn("active_days", F.lit(1)))
+    return span.on_report_dates(seen, ["user_id"], ["active_days"], days)
 
 
 def user_touches(ws: Workspace, span: Span, days: int) -> DataFrame:
     """Per (report date, user, guid): file views over the trailing window."""
+    keys = ["user_id", "guid"]
     if ws.touches is not None:
-        daily = (ws.touches.filter(span.covers(days)).filter(F.col("views") > 0)
-                 .select("ldate", "user_id", "guid", "views"))
-        return (span.spread(daily, days).groupBy("ldate", "user_id", "guid")
-                .agg(F.sum("views").alias("views")))
-    hits = ws.events.filter(span.covers(days)).filter(p.any_product() & p.action(p.VIEW))
-    one = F.count(F.lit(1)).alias("views")
-    if span.single:
-        return hits.groupBy("user_id", "guid").agg(one).withColumn("ldate", F.lit(span.start))
-    daily = hits.groupBy("ldate", "user_id", "guid").agg(one)
-    if days == 1:
-        return daily
-    return (span.spread(daily, days).groupBy("ldate", "user_id", "guid")
-            .agg(F.sum("views").alias("views")))
+        daily = (ws.touches.filter(span.covers(days) & (F.col("views") > 0))
+                 .select("ldate", *keys, "views"))
+    else:
+        hits = ws.events.filter(span.covers(days)).filter(p.any_product() & p.action(p.VIEW))
+        one = F.count(F.lit(1)).alias("views")
+        if span.single:
+            return hits.groupBy(*keys).agg(one).withColumn("ldate", F.lit(span.start))
+        daily = hits.groupBy("ldate", *keys).agg(one)
+    return span.on_report_dates(daily, keys, ["views"], days)

@@ -13,10 +13,9 @@ JDBC_BATCH = 1000
 
 
 def write_events(events: DataFrame, path: str, mode: str = "append") -> None:
-    """Event table partitioned by day. Rows of a day are split over several tasks."""
-    spread = F.pmod(F.xxhash64("user_id", "guid", "time"), F.lit(64))
-    (events.repartition(F.col("ldate"), spread).write.mode(mode)
-     .partitionBy("ldate").parquet(path))
+    """Event table partitioned by day. The rebalance lets AQE split large days over many
+    tasks and gather small ones, so file sizes follow the data."""
+    events.hint("rebalance", "ldate").write.mode(mode).partitionBy("ldate").parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, *, header: bool = True, sep: str = ",") -> None:
@@ -71,5 +70,5 @@ def write_jdbc_day(df: DataFrame, url: str, table: str, date: DateLike,
         statement.executeUpdate()
     finally:
         connection.close()
-    (df.filter(F.col("ldate") == F.lit(as_date(date))).coalesce(writers)
+    (df.filter(F.col("ldate") == F.lit(as_date(date))).repartition(writers)
      .write.mode("append").jdbc(url, table, properties=props))

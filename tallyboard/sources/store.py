@@ -21,10 +21,14 @@ class Store:
         base = f"{self.root}/{table}"
         return base if date is None else f"{base}/ldate={as_date(date).isoformat()}"
 
+    def _folder(self, path: str):
+        """File system and path handle of ``path``."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
     def exists(self, path: str) -> bool:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+        fs, p = self._folder(path)
+        return fs.exists(p)
 
     # --- daily tables ---------------------------------------------------------
     def write_day(self, df: DataFrame, table: str, date: DateLike) -> None:
@@ -39,23 +43,30 @@ class Store:
         The dates are observed during the write itself, not by a second pass.
         """
         seen = Observation()
-        others = [c for c in df.columns if c != "ldate"]
-        # a few tasks per date: no tiny files, and no large date in one task
-        bucket = F.pmod(F.xxhash64(*others), F.lit(16))
-        (df.observe(seen, F.collect_set("ldate").alias("dates"))
-         .repartition(F.col("ldate"), bucket).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("ldate").parquet(self.path(table)))
+        # rebalance: AQE gathers small dates and splits large ones into files of the target size
+        (df.observe(seen, F.collect_set("ldate").alias("dates")).hint("rebalance", "ldate")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("ldate").parquet(self.path(table)))
         return set(seen.get["dates"])
 
     def write_span(self, df: DataFrame, table: str, span: Span) -> None:
-        """Replace every date of the span. Dates without rows become empty partitions, so
-        rows of an earlier run do not survive there."""
+        """Replace every date of the span.
+
+        Dates without rows are cleared when an earlier run left rows there; otherwise an
+        empty folder records that the date was computed.
+        """
         if span.single:
             return self.write_day(df, table, span.start)
         written = self.write_dates(df.filter(span.covers()), table)
         for d in span.dates():
-            if d not in written:
+            if d in written:
+                continue
+            path = self.path(table, d)
+            if self.exists(path) or (not written and d == span.end):
                 self.write_day(df.limit(0), table, d)
+            else:
+                fs, folder = self._folder(path)
+                fs.mkdirs(folder)
 
     def read(self, table: str, span: Span | None = None) -> DataFrame:
         df = self.spark.read.parquet(self.path(table))
