@@ -54,10 +54,6 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape_events(table(spark, sf_dir, "events"))
 
 
-def _ntz(d: dt.date):
-    return F.lit(dt.datetime(d.year, d.month, d.day)).cast("timestamp_ntz")
-
-
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("c_custkey")
     return table(spark, sf_dir, "customer").select(

@@ -28,7 +28,7 @@ def day(value: DateLike) -> Column:
 # --- epochs and zones -------------------------------------------------------
 def epoch_seconds_to_local(seconds: Column, zone: str = UTC) -> Column:
     """Wall-clock time in ``zone`` of an epoch-seconds value, as a zone-free timestamp."""
-    utc = F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(
+    utc = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(
         secs=seconds.cast("decimal(18,6)"))
     return utc if zone == UTC else F.convert_timezone(F.lit(UTC), F.lit(zone), utc)
 
