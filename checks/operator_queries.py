@@ -65,9 +65,9 @@ per_user("P8_in_list", "file_type = 2 AND sub_type IN (-1, -3, -4)", lambda: p.p
 
 @query("P9_disjunction", with_model(f"SELECT user_id, count(*) AS n FROM eva WHERE {COLLAB_ROWS} GROUP BY user_id"))
 def p9(spark, sf):
-    from tallyboard.plans.rollups import PRESENCE
+    from tallyboard.plans.rollups import ROWS, weighted
 
-    return (fx.events(spark, sf).filter(PRESENCE["collaboration"]()).groupBy("user_id")
+    return (weighted(fx.events(spark, sf)).filter(ROWS["collaboration"]()).groupBy("user_id")
             .agg(F.count(F.lit(1)).alias("n"))
             .join(user_teams(fx.users(spark, sf)), "user_id", "left_semi"))
 
@@ -263,12 +263,12 @@ def a2(spark, sf):
 @query("A3_count_bank", with_model(f"SELECT user_id, {TD_COUNTS} FROM eva WHERE ldate <= {D} AND action_name <> 'unknown' "
                                    "AND action_name <> 'import_obj' GROUP BY user_id"))
 def a3(spark, sf):
-    from tallyboard.plans.enterprise import _TOTAL_SOURCES
+    from tallyboard.plans.enterprise import TOTAL_SOURCES
     from tallyboard.plans.rollups import user_counts
 
     ws = fx.workspace(spark, sf)
-    counts = user_counts(ws, "to_date", list(_TOTAL_SOURCES.values()), Span.of(fx.DATE), 15)
-    return counts.select("user_id", *[F.col(s).alias(n) for n, s in _TOTAL_SOURCES.items()])
+    counts = user_counts(ws, "to_date", list(TOTAL_SOURCES.values()), Span.of(fx.DATE), 15)
+    return counts.select("user_id", *[F.col(s).alias(n) for n, s in TOTAL_SOURCES.items()])
 
 
 @query("A4_exact_distinct", with_model("SELECT team_id, count(DISTINCT user_id) AS uv, count(DISTINCT guid) AS files FROM eva WHERE team_id IS NOT NULL GROUP BY team_id"))

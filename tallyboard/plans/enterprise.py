@@ -87,10 +87,10 @@ def seats_and_activity(ws: Workspace, span: Span, strict: bool = False) -> DataF
     return conform(out, RESULTS[USERS_TABLE])
 
 
-_TOTAL_SOURCES = {
+TOTAL_SOURCES = {
     "create_objs": "td_create_objs", **{f"create_{n}": f"td_create_{n}" for n in PRODUCTS},
-    "file_views": "any_file_views", "add_collaborations": "any_add_collaborations",
-    "use_ats": "any_use_ats", "public_shares": "td_public_shares", "comments": "any_comments",
+    "public_shares": "td_public_shares",
+    **{c: c for c in ("file_views", "add_collaborations", "use_ats", "comments")},
 }
 
 
@@ -100,9 +100,9 @@ def usage_to_date(ws: Workspace, span: Span, strict: bool = False) -> DataFrame:
     Without a stored total, counting starts at the first date of the span.
     """
     sums = list(TOTAL_COUNTS)
-    new = (user_counts(ws, "to_date", list(_TOTAL_SOURCES.values()), span, 1)
+    new = (user_counts(ws, "to_date", list(TOTAL_SOURCES.values()), span, 1)
            .join(user_teams(ws.users), "user_id")
-           .select("ldate", "team_id", *[F.col(s).alias(n) for n, s in _TOTAL_SOURCES.items()]))
+           .select("ldate", "team_id", *[F.col(s).alias(n) for n, s in TOTAL_SOURCES.items()]))
     eve = span.start - dt.timedelta(1)
     stored = _earlier(ws, TOTALS_TABLE, eve, eve, strict)
     if stored is not None:

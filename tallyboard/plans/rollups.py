@@ -1,9 +1,9 @@
 """Shared roll-ups: one pass over the raw events feeds every metric.
 
-All usage counters are sums over events of a condition on the event alone, while team,
-department and seat come from the user. So events are first counted per user (per day);
-dimensions are joined to those counts. The raw stream is shuffled once, as partial sums,
-a hot user or team costs no more than any other, and no join ever sees raw events.
+Every usage counter asks only for the act, the file type and the share flag of an event,
+while team, department and seat come from its user. So events are first counted per user;
+dimensions are joined to those counts. The raw stream is shuffled once, as partial sums, a
+hot user or team costs no more than any other, and no join ever sees raw events.
 """
 
 from __future__ import annotations
@@ -20,6 +20,13 @@ from .model import Workspace
 
 Condition = Callable[[], Column]
 
+# What the counters ask for; ``acts`` and ``guid_acts`` weigh a row (1 for a raw event).
+KIND = ("action_name", "file_type", "sub_type", "shared")
+
+
+def _shares() -> Column:
+    return F.col("shared")
+
 
 def _creates(product_name: str) -> Condition:
     return lambda: p.action(p.CREATE, p.UPLOAD) & p.product(product_name)
@@ -30,44 +37,37 @@ def _creates_to_date(product_name: str) -> Condition:
     return lambda: p.action(act) & p.product(product_name)
 
 
-# Acts counted by row; "clean" leaves rows of unknown file type out.
-_ACTS: dict[str, Condition] = {
+# Counters over rows.
+ROW_COUNTERS: dict[str, Condition] = {
     "add_collaborations": lambda: p.action(p.ADD_COLLABORATOR),
     "use_ats": lambda: p.action(p.AT),
-    "public_shares": p.shares_publicly,
+    "public_shares": _shares,
     "comments": lambda: p.action(p.COMMENT),
     "file_views": lambda: p.action(p.VIEW),
     "create_file_acts": p.creates_file,
 }
 
-# Counters over rows.
-ROW_COUNTERS: dict[str, Condition] = {
-    **{f"any_{n}": c for n, c in _ACTS.items()},
-    **{f"clean_{n}": (lambda c=c: p.clean() & c()) for n, c in _ACTS.items()},
-}
-
-# Counters over non-NULL guids.
+# Counters over rows with a guid.
 GUID_COUNTERS: dict[str, Condition] = {
-    "create_files": lambda: p.clean() & p.creates_file(),
-    "import_files": lambda: p.clean() & p.imports_file(),
-    "upload_files": lambda: p.clean() & p.uploads_cloud_file(),
+    "create_files": p.creates_file,
+    "import_files": p.imports_file,
+    "upload_files": p.uploads_cloud_file,
     "create_dirs": lambda: p.creates_container(p.FOLDER),
     "create_spaces": lambda: p.creates_container(p.SPACE),
     "create_objs": lambda: p.action(p.CREATE, p.UPLOAD) & p.any_product(),
     **{f"create_{n}": _creates(n) for n in PRODUCTS},
     "td_create_objs": lambda: p.action(p.CREATE) & p.any_product(),
     **{f"td_create_{n}": _creates_to_date(n) for n in PRODUCTS},
-    "td_public_shares": p.shares_publicly,
+    "td_public_shares": _shares,
 }
 
 
 def _acted() -> Column:
-    return (p.action(p.ADD_COLLABORATOR, p.AT, p.COMMENT, p.VIEW)
-            | p.shares_publicly() | p.creates_file())
+    return (p.action(p.ADD_COLLABORATOR, p.AT, p.COMMENT, p.VIEW) | _shares() | p.creates_file())
 
 
-# Which rows make a group appear in a result, whatever its counters are.
-PRESENCE: dict[str, Condition] = {
+# Which rows a metric looks at; they also decide which groups appear in its result.
+ROWS: dict[str, Condition] = {
     "any": lambda: F.lit(True),
     "clean": p.clean,
     "file": lambda: p.clean() & (p.creates_file() | p.imports_file() | p.uploads_cloud_file()),
@@ -81,16 +81,27 @@ PRESENCE: dict[str, Condition] = {
 
 
 def _counter(name: str) -> Column:
-    if name in ROW_COUNTERS:
-        return F.count(F.when(ROW_COUNTERS[name](), F.lit(1))).alias(name)
-    return F.count(F.when(GUID_COUNTERS[name](), F.col("guid"))).alias(name)
+    condition, weight = ((ROW_COUNTERS[name], "acts") if name in ROW_COUNTERS
+                         else (GUID_COUNTERS[name], "guid_acts"))
+    return F.sum(F.when(condition(), F.col(weight)).otherwise(0)).alias(name)
+
+
+def weighted(events: DataFrame) -> DataFrame:
+    """Raw events in the form of the activity roll-up, each with weight 1."""
+    return events.select("ldate", "user_id", "action_name", "file_type", "sub_type",
+                         F.coalesce(p.shares_publicly(), F.lit(False)).alias("shared"),
+                         F.lit(1).cast("bigint").alias("acts"),
+                         F.col("guid").isNotNull().cast("bigint").alias("guid_acts"))
 
 
 def activity_rollup(events: DataFrame) -> DataFrame:
-    """Per (day, user): all counters and, per presence rule, its row count."""
-    rows = [F.count(F.when(c(), F.lit(1))).alias(f"rows_{n}") for n, c in PRESENCE.items()]
-    counters = [_counter(n) for n in (*ROW_COUNTERS, *GUID_COUNTERS)]
-    return events.groupBy("ldate", "user_id").agg(*rows, *counters)
+    """Per (day, user, kind of event): events, and events with a guid.
+
+    Exact for every counter and far smaller than the events: a user has at most a few
+    dozen kinds of event in a day.
+    """
+    return (weighted(events).groupBy("ldate", "user_id", *KIND)
+            .agg(F.sum("acts").alias("acts"), F.sum("guid_acts").alias("guid_acts")))
 
 
 def touch_rollup(events: DataFrame) -> DataFrame:
@@ -102,18 +113,14 @@ def touch_rollup(events: DataFrame) -> DataFrame:
                  F.max(F.when(space, F.col("time"))).alias("space_time")))
 
 
-def user_counts(ws: Workspace, presence: str, counters: Sequence[str], span: Span,
-                days: int) -> DataFrame:
+def user_counts(ws: Workspace, rows: str, counters: Sequence[str], span: Span, days: int) -> DataFrame:
     """Per (report date, user) counters over the trailing window of each report date."""
-    if ws.activity is not None:
-        daily = (ws.activity.filter(span.covers(days) & (F.col(f"rows_{presence}") > 0))
-                 .select("ldate", "user_id", *counters))
-    else:
-        hits = ws.events.filter(span.covers(days)).filter(PRESENCE[presence]())
-        counts = [_counter(c) for c in counters]
-        if span.single:
-            return hits.groupBy("user_id").agg(*counts).withColumn("ldate", F.lit(span.start))
-        daily = hits.groupBy("ldate", "user_id").agg(*counts)
+    source = ws.activity if ws.activity is not None else weighted(ws.events)
+    hits = source.filter(span.covers(days)).filter(ROWS[rows]())
+    sums = [_counter(c) for c in counters]
+    if span.single:
+        return hits.groupBy("user_id").agg(*sums).withColumn("ldate", F.lit(span.start))
+    daily = hits.groupBy("ldate", "user_id").agg(*sums)
     return span.on_report_dates(daily, ["user_id"], list(counters), days)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,11 +21,11 @@ _GRAIN = {"team": ["team_id"], "department": ["team_id", "department_id"],
 
 @dataclass(frozen=True)
 class UsageMetric:
-    """``counters`` maps output columns to roll-up counters."""
+    """``rows`` names the events it looks at, ``counters`` maps output columns to counters."""
 
     table: str
     grain: str
-    presence: str
+    rows: str
     counters: Mapping[str, str]
     days: int = 1
     seats_only: bool = False
@@ -37,8 +37,6 @@ class UsageMetric:
 
 _FILE = {c: c for c in FILE_COUNTS}
 _COLLAB = {c: "create_file_acts" if c == "create_files" else c for c in COLLAB_COUNTS}
-_COLLAB_ANY = {c: f"any_{s}" for c, s in _COLLAB.items()}
-_COLLAB_CLEAN = {c: f"clean_{s}" for c, s in _COLLAB.items()}
 _PRODUCT = {"create_objs": "create_objs", **{f"create_{n}": f"create_{n}" for n in PRODUCTS}}
 
 # Despite their names, the file and collaboration "7d" tables cover one day, as they do
@@ -46,13 +44,13 @@ _PRODUCT = {"create_objs": "create_objs", **{f"create_{n}": f"create_{n}" for n
 FILE_BY_TEAM = UsageMetric("file_7d_statistic_by_global", "team", "clean", _FILE)
 FILE_BY_DEPARTMENT = UsageMetric("file_7d_statistic_by_department", "department", "file", _FILE)
 FILE_BY_MEMBER = UsageMetric("file_7d_statistic_by_member", "member", "file", _FILE)
-COLLAB_BY_TEAM = UsageMetric("collaboration_7d_statistic_by_global", "team", "any", _COLLAB_ANY)
+COLLAB_BY_TEAM = UsageMetric("collaboration_7d_statistic_by_global", "team", "any", _COLLAB)
 COLLAB_BY_DEPARTMENT = UsageMetric("collaboration_7d_statistic_by_department", "department",
-                                   "collaboration", _COLLAB_CLEAN)
+                                   "collaboration", _COLLAB)
 COLLAB_BY_MEMBER = UsageMetric("collaboration_7d_statistic_by_member", "member",
-                               "collaboration", _COLLAB_CLEAN, seats_only=True)
+                               "collaboration", _COLLAB, seats_only=True)
 COLLAB_30D_BY_MEMBER = UsageMetric("collaboration_30d_statistic_by_member", "member",
-                                   "collaboration", _COLLAB_CLEAN, days=30, seats_only=True)
+                                   "collaboration", _COLLAB, days=30, seats_only=True)
 PRODUCT_BY_TEAM = UsageMetric("file_7d_product_statistic_by_global", "team", "product",
                               _PRODUCT, days=7, shares_of="create_objs")
 PRODUCT_BY_DEPARTMENT = replace(PRODUCT_BY_TEAM, grain="department",
@@ -64,7 +62,7 @@ PRODUCT_BY_MEMBER = replace(PRODUCT_BY_TEAM, grain="member",
 def usage(ws: Workspace, metric: UsageMetric, span: Span) -> DataFrame:
     """Rows of one usage table for every report date of ``span``."""
     inner = list(dict.fromkeys(metric.counters.values()))
-    counts = (user_counts(ws, metric.presence, inner, span, metric.days)
+    counts = (user_counts(ws, metric.rows, inner, span, metric.days)
               .join(user_teams(ws.users, metric.seats_only), "user_id"))
     if metric.grain == "department":
         # one row per department of the user, ancestors included
@@ -80,11 +78,10 @@ def usage(ws: Workspace, metric: UsageMetric, span: Span) -> DataFrame:
 
 def member_usage_download(ws: Workspace, span: Span) -> DataFrame:
     """Daily usage and score of every member, one row per department of the member."""
-    acts = ("file_views", "use_ats", "add_collaborations", "public_shares", "comments")
-    creates = ("create_files", "create_spaces", "create_dirs", "import_files", "upload_files")
-    counts = user_counts(ws, "usage", [*(f"clean_{a}" for a in acts), *creates], span, 1)
-    named = counts.select("ldate", "user_id", *[F.col(f"clean_{a}").alias(a) for a in acts], *creates)
+    counters = ("file_views", "use_ats", "add_collaborations", "public_shares", "comments",
+                "create_files", "create_spaces", "create_dirs", "import_files", "upload_files")
+    counts = user_counts(ws, "usage", counters, span, 1)
     members = user_teams(ws.users, False, F.col("name").alias("user_name"))
-    out = (named.join(members, "user_id").withColumn("active_score", active_score())
+    out = (counts.join(members, "user_id").withColumn("active_score", active_score())
            .join(ws.need("user_dep"), "user_id", "left"))
     return conform(out, RESULTS["usage_1d_download_by_member"])

@@ -46,13 +46,6 @@ def read_dimension(spark: SparkSession, source: str, schema: str, **jdbc) -> Dat
     return read_parquet(spark, source, schema)
 
 
-def live_edges(edges: DataFrame) -> DataFrame:
-    """Live organisation edges with compound (type, id) keys."""
-    from ..plans.org import org_edges
-
-    return org_edges(edges)
-
-
 def read_csv(spark: SparkSession, path: str, schema: str, *, header: bool = True,
              sep: str = ",") -> DataFrame:
     """Delimited text with a header line to skip. Quotes are doubled inside quoted fields."""

@@ -47,8 +47,14 @@ def insert_overwrite(df: DataFrame, table: str) -> None:
         spark.conf.set(key, before)
 
 
-def jdbc_delete_day(table: str) -> str:
-    return f"DELETE FROM {table} WHERE ldate = ?"
+def jdbc_delete_day(connection, table: str, sql_date) -> None:
+    """Delete one date over an open JDBC connection and close it."""
+    try:
+        statement = connection.prepareStatement(f"DELETE FROM {table} WHERE ldate = ?")
+        statement.setDate(1, sql_date)
+        statement.executeUpdate()
+    finally:
+        connection.close()
 
 
 def write_jdbc_day(df: DataFrame, url: str, table: str, date: DateLike,
@@ -58,17 +64,12 @@ def write_jdbc_day(df: DataFrame, url: str, table: str, date: DateLike,
     NULLs stay NULLs. At most ``writers`` connections write at a time. Needs the JDBC
     driver of the target on the class path.
     """
-    spark = df.sparkSession
+    jvm = df.sparkSession._jvm
     props = {"batchsize": str(JDBC_BATCH), **(properties or {})}
-    jprops = spark._jvm.java.util.Properties()
+    jprops = jvm.java.util.Properties()
     for k, v in props.items():
         jprops.setProperty(k, v)
-    connection = spark._jvm.java.sql.DriverManager.getConnection(url, jprops)
-    try:
-        statement = connection.prepareStatement(jdbc_delete_day(table))
-        statement.setDate(1, spark._jvm.java.sql.Date.valueOf(as_date(date).isoformat()))
-        statement.executeUpdate()
-    finally:
-        connection.close()
+    jdbc_delete_day(jvm.java.sql.DriverManager.getConnection(url, jprops), table,
+                    jvm.java.sql.Date.valueOf(as_date(date).isoformat()))
     (df.filter(F.col("ldate") == F.lit(as_date(date))).repartition(writers)
      .write.mode("append").jdbc(url, table, properties=props))

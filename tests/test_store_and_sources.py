@@ -98,7 +98,37 @@ def test_jdbc_options():
     assert o["partitionColumn"] == "id" and o["numPartitions"] == "8" and o["dbtable"] == "users"
     with pytest.raises(ValueError):
         readers.jdbc_options("jdbc:x", "users", column="id")
-    assert sinks.jdbc_delete_day("t") == "DELETE FROM t WHERE ldate = ?"
+
+
+class FakeConnection:
+    """Records what a JDBC connection is asked to do."""
+
+    def __init__(self, fails=False):
+        self.calls, self.fails = [], fails
+
+    def prepareStatement(self, sql):
+        self.calls.append(sql)
+        return self
+
+    def setDate(self, index, value):
+        self.calls.append((index, value))
+
+    def executeUpdate(self):
+        if self.fails:
+            raise RuntimeError("refused")
+
+    def close(self):
+        self.calls.append("closed")
+
+
+def test_jdbc_day_is_deleted_by_parameter():
+    c = FakeConnection()
+    sinks.jdbc_delete_day(c, "t", DAY)
+    assert c.calls == ["DELETE FROM t WHERE ldate = ?", (1, DAY), "closed"]
+    c = FakeConnection(fails=True)
+    with pytest.raises(RuntimeError):
+        sinks.jdbc_delete_day(c, "t", DAY)
+    assert c.calls[-1] == "closed"
 
 
 def test_kafka_options():
