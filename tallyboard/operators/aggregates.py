@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def sums(names: Iterable[str]) -> list[Column]:
+    """``sum`` of each column under its own name."""
+    return [F.expr(f"sum(`{n}`) AS `{n}`") for n in names]
+
+
 def count_where(condition: Column, value: Column | None = None) -> Column:
     """Rows that meet ``condition``; with ``value``, only those where it is not NULL."""
     return F.count(F.when(condition, F.lit(1) if value is None else value))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .aggregates import sums as sums_of
+
 
 def salted_inner_join(left: DataFrame, right: DataFrame, keys: Sequence[str], spread_by: Column,
                       salts: int = 32, hot_keys: int = 100, hot_rows: int = 100_000) -> DataFrame:
@@ -37,15 +39,15 @@ def full_merge_sum(frames: Sequence[DataFrame], keys: Sequence[str],
     Absent counters count as 0. One shuffle however many sides there are, and NULL
     keys meet like any other key.
     """
-    padded = [
-        f.select(*keys, *[(F.coalesce(F.col(c), F.lit(0)) if c in f.columns else F.lit(0))
-                          .cast("bigint").alias(c) for c in sums])
-        for f in frames
-    ]
+    padded = []
+    for f in frames:
+        own = set(f.columns)
+        padded.append(f.select(*keys, *[
+            F.expr(f"CAST({f'coalesce(`{c}`, 0)' if c in own else '0'} AS BIGINT) AS `{c}`") for c in sums]))
     union = padded[0]
     for f in padded[1:]:
         union = union.unionByName(f)
-    return union.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+    return union.groupBy(*keys).agg(*sums_of(sums))
 
 
 def prefer(first: DataFrame, second: DataFrame, keys: Sequence[str]) -> DataFrame:

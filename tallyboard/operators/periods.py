@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import DateLike, as_date
+from .aggregates import sums as sums_of
 
 
 @dataclass(frozen=True)
@@ -47,18 +48,16 @@ class Span:
         """
         inside = daily.filter(self.covers(days))
         if self.single:
-            return (inside.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
-                    .withColumn("ldate", F.lit(self.start)))
+            return inside.groupBy(*keys).agg(*sums_of(sums)).withColumn("ldate", F.lit(self.start))
         if days == 1:
             return inside.select("ldate", *keys, *sums)
         enters = F.struct(F.greatest("ldate", F.lit(self.start)).alias("ldate"), F.lit(1).alias("sign"))
         leaves = F.struct(F.date_add("ldate", days).alias("ldate"), F.lit(-1).alias("sign"))
         change = F.explode(F.array(enters, leaves)).alias("c")
-        signed = [(F.col(c) * F.col("c.sign")).alias(c) for c in sums]
-        steps = (inside.withColumn("_rows", F.lit(1)).select(*keys, *sums, "_rows", change)
-                 .filter(F.col("c.ldate") <= F.lit(self.end))
-                 .select("c.ldate", *keys, *signed, (F.col("_rows") * F.col("c.sign")).alias("_rows"))
-                 .groupBy("ldate", *keys).agg(*[F.sum(c).alias(c) for c in (*sums, "_rows")]))
+        signed = [F.expr(f"`{c}` * c.sign AS `{c}`") for c in sums]
+        steps = (inside.select(*keys, *sums, change).filter(F.col("c.ldate") <= F.lit(self.end))
+                 .select("c.ldate", *keys, *signed, F.col("c.sign").alias("_rows"))
+                 .groupBy("ldate", *keys).agg(*sums_of([*sums, "_rows"])))
         return running_total(steps, keys, [*sums, "_rows"], self.end).filter("_rows > 0").drop("_rows")
 
 
@@ -72,6 +71,6 @@ def running_total(deltas: DataFrame, keys: Sequence[str], sums: Sequence[str], e
     by_day = Window.partitionBy(*keys).orderBy("ldate")
     so_far = by_day.rowsBetween(Window.unboundedPreceding, 0)
     last = F.coalesce(F.date_sub(F.lead("ldate").over(by_day), 1), F.lit(end))
-    steps = deltas.select("ldate", *keys, *[F.sum(F.coalesce(F.col(c), F.lit(0))).over(so_far).alias(c)
-                                            for c in sums], last.alias("_last"))
+    totals = [F.expr(f"sum(coalesce(`{c}`, 0))").over(so_far).alias(c) for c in sums]
+    steps = deltas.select("ldate", *keys, *totals, last.alias("_last"))
     return steps.select(F.explode(F.sequence("ldate", "_last")).alias("ldate"), *keys, *sums)

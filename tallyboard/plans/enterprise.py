@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import predicates as p
 from ..functions.scalars import change, first_day_at_or_after, share, zero_if_null
+from ..operators.aggregates import sums as sums_of
 from ..operators.periods import Span, running_total
 from ..schemas import PRODUCTS, RESULTS, TOTAL_COUNTS, conform
 from .model import Workspace, user_teams
@@ -80,10 +81,10 @@ def seats_and_activity(ws: Workspace, span: Span, strict: bool = False) -> DataF
         out = (now.join(before, ["ldate", "team_id"], "left")
                .select(*now.columns, *[zero_if_null(F.col(f"before_7d_{v}")).alias(f"before_7d_{v}")
                                        for v in values]))
-    for v in values:
-        out = out.withColumn(f"{v}_change_ratio", change(F.col(v), F.col(f"before_7d_{v}")))
-    out = (out.withColumn("activated_seats_ratio", share(F.col("activated_seats"), F.col("member_count")))
-           .withColumn("active_uv_ratio", share(F.col("active_uv"), F.col("member_count"))))
+    out = out.select(
+        "*", *[change(F.col(v), F.col(f"before_7d_{v}")).alias(f"{v}_change_ratio") for v in values],
+        share(F.col("activated_seats"), F.col("member_count")).alias("activated_seats_ratio"),
+        share(F.col("active_uv"), F.col("member_count")).alias("active_uv_ratio"))
     return conform(out, RESULTS[USERS_TABLE])
 
 
@@ -109,7 +110,7 @@ def usage_to_date(ws: Workspace, span: Span, strict: bool = False) -> DataFrame:
         new = new.unionByName(stored.select(
             F.lit(span.start).alias("ldate"), F.col("team_id").cast("bigint").alias("team_id"),
             *[zero_if_null(F.col(c)).cast("bigint").alias(c) for c in sums]))
-    deltas = new.groupBy("ldate", "team_id").agg(*[F.sum(c).alias(c) for c in sums])
+    deltas = new.groupBy("ldate", "team_id").agg(*sums_of(sums))
     total = deltas if span.single else running_total(deltas, ["team_id"], sums, span.end)
     return conform(total, RESULTS[TOTALS_TABLE])
 
@@ -119,7 +120,7 @@ def creation_download(ws: Workspace, span: Span) -> DataFrame:
     own = ["create_objs", *(f"create_{n}" for n in PRODUCTS), "create_dirs", "create_spaces"]
     made = (user_counts(ws, "creation", own, span, WINDOW_DAYS)
             .join(user_teams(ws.users), "user_id")
-            .groupBy("ldate", "team_id").agg(*[F.sum(c).alias(c) for c in own]))
+            .groupBy("ldate", "team_id").agg(*sums_of(own)))
 
     def same_day(table: str) -> DataFrame:
         rows = ws.snapshot(table)

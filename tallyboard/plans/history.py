@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import predicates as p
 from ..functions.scalars import DateLike, day, json_value, normal_id
-from ..operators.aggregates import count_bank
+from ..operators.aggregates import count_bank, sums
 from ..operators.joins import full_merge_sum
 from ..schemas import PRODUCTS, TOTAL_COUNTS
 
@@ -52,7 +52,7 @@ def collaboration_full_load(users: DataFrame, permissions: DataFrame, notificati
          per_user(_snapshot(comments, date), "comments")],
         ["user_id"], COLLAB_SUMS)
     return (merged.join(members, "user_id", "left").groupBy("team_id")
-            .agg(*[F.sum(c).alias(c) for c in COLLAB_SUMS])
+            .agg(*sums(COLLAB_SUMS))
             .withColumn("ldate", day(date)))
 
 
@@ -70,7 +70,7 @@ def collaboration_range(events: DataFrame, users: DataFrame, start: DateLike, en
                      F.count(F.when(shared, F.col("guid"))).alias("public_shares"),
                      F.count_if(p.action(p.COMMENT)).alias("comments")))
     return (per_user.join(_team_users(users, end), "user_id").groupBy("team_id")
-            .agg(*[F.sum(c).alias(c) for c in COLLAB_SUMS]).withColumn("ldate", day(end)))
+            .agg(*sums(COLLAB_SUMS)).withColumn("ldate", day(end)))
 
 
 # --- file views -----------------------------------------------------------------
@@ -139,7 +139,7 @@ def creations_full(files: DataFrame, legacy_files: DataFrame, users: DataFrame,
     bank = {n: c for n, c in _bank("kind", "type").items() if n != "create_clouds"}
     old = count_bank(old, ["team_id"], bank, F.col("guid")).withColumn("create_clouds", F.lit(0))
     return (new.unionByName(old).groupBy("team_id")
-            .agg(*[F.sum(c).alias(c) for c in CREATE_SUMS]).withColumn("ldate", day(date)))
+            .agg(*sums(CREATE_SUMS)).withColumn("ldate", day(date)))
 
 
 def creations_to_date(current: DataFrame, legacy: DataFrame, users: DataFrame) -> DataFrame:
@@ -150,7 +150,7 @@ def creations_to_date(current: DataFrame, legacy: DataFrame, users: DataFrame) -
     made = all_files(current, legacy).withColumn("user_id", normal_id(F.col("created_by")))
     per_user = count_bank(made, ["user_id"], _bank("type", "sub_type"), F.col("guid"))
     return (per_user.join(user_teams(users), "user_id").groupBy("team_id")
-            .agg(*[F.sum(c).alias(c) for c in CREATE_SUMS]))
+            .agg(*sums(CREATE_SUMS)))
 
 
 # --- merge ----------------------------------------------------------------------

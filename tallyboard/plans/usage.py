@@ -68,11 +68,11 @@ def usage(ws: Workspace, metric: UsageMetric, span: Span) -> DataFrame:
         # one row per department of the user, ancestors included
         counts = counts.join(ws.need("user_dep"), "user_id")
     out = counts.groupBy("ldate", *_GRAIN[metric.grain]).agg(
-        *[F.sum(src).alias(name) for name, src in metric.counters.items()])
+        *[F.expr(f"sum({src}) AS {name}") for name, src in metric.counters.items()])
     if metric.shares_of:
-        for name in metric.counters:
-            if name != metric.shares_of:
-                out = out.withColumn(f"{name}_ratio", share(F.col(name), F.col(metric.shares_of)))
+        whole = F.col(metric.shares_of)
+        out = out.select("*", *[share(F.col(n), whole).alias(f"{n}_ratio")
+                                for n in metric.counters if n != metric.shares_of])
     return conform(out, RESULTS[metric.table])
 
 

@@ -10,7 +10,7 @@ from tallyboard.operators.periods import Span
 from tallyboard.plans import enterprise, jobs, usage
 from tallyboard.sources.store import Store
 
-START, END = "2024-01-13", "2024-01-15"
+START, END = "2024-01-14", "2024-01-15"
 
 
 @pytest.fixture(scope="module")
