@@ -310,9 +310,11 @@ def a9(spark, sf):
     return per.join(user_teams(fx.users(spark, sf)), "user_id").groupBy("team_id").agg(F.sum("n").alias("n"))
 
 
-@query("A10_collect_array", with_model("SELECT user_id, list_sort(list(department_id)) AS deps FROM ud GROUP BY user_id"))
+@query("A10_collect_array", with_model("SELECT user_id, array_to_string(list_sort(list(department_id)), ',') AS deps, count(*) AS n "
+                                    "FROM ud GROUP BY user_id"))
 def a10(spark, sf):
-    return agg.names_list(fx.user_dep(spark, sf), ["user_id"], "department_id", "deps")
+    lists = agg.names_list(fx.user_dep(spark, sf), ["user_id"], "department_id", "deps")
+    return lists.select("user_id", F.array_join("deps", ",").alias("deps"), F.size("deps").cast("bigint").alias("n"))
 
 
 @query("A11_running_total", with_model("""

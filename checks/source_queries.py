@@ -142,7 +142,8 @@ def s16(spark, sf):
 # --- streams -----------------------------------------------------------------------------
 def raw_stream(spark, sf):
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    # a glob, since a stream takes a folder or a pattern but no single file
+    return spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]")
 
 
 @query("K1_event_ingest", with_model(f"SELECT ldate, {EVENT_COLS} FROM ev"))

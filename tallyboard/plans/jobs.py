@@ -41,6 +41,7 @@ JOBS: dict[str, Job] = {
 }
 
 ACTIVITY, TOUCHES = "daily_user_activity", "daily_file_touches"
+SPACE_STATE = "daily_space_state"
 FROM_TOUCHES = (rankings.HOT_1D, rankings.HOT_7D, rankings.SPACES)
 
 
@@ -62,12 +63,17 @@ class Backfill:
     Roll-ups are computed for the span, and for earlier days only where they are missing
     (``refresh`` recomputes those too). ``bulk`` computes all dates of a job in one Spark
     job; without it the dates run one by one. Both give the same rows.
+
+    ``carry_spaces`` keeps the last act per space from run to run, so that the list of updated
+    spaces reads the days of the span instead of all history; after a change in the past, the
+    run must then go on from that date to the present.
     """
 
     ws: Workspace
     store: Store
     bulk: bool = True
     refresh: bool = False
+    carry_spaces: bool = False
 
     def run(self, start, end=None, tasks: Sequence[str] | None = None, lookback: int = 29) -> None:
         span = Span.of(start, end)
@@ -76,7 +82,10 @@ class Backfill:
             raise KeyError(f"unknown tasks: {unknown}")
         wanted = [t for t in JOBS if tasks is None or t in tasks]
         ws = self.with_rollups(span, lookback, touches=any(t in FROM_TOUCHES for t in wanted))
+        carry = self.carry_spaces and rankings.SPACES in wanted
         for part in ([span] if self.bulk else [Span.of(d) for d in span.dates()]):
+            if carry:
+                ws = self.with_spaces(ws, part)
             for task in wanted:
                 self.store.write_span(JOBS[task](ws, part), task, part)
 
@@ -106,3 +115,15 @@ class Backfill:
             store.write_dates(touch_rollup(before), TOUCHES)
         store.write_span(touch_rollup(events.filter(days.covers())), TOUCHES, days)
         return ws.with_(touches=store.read(TOUCHES))
+
+    def with_spaces(self, ws: Workspace, span: Span) -> Workspace:
+        """State of the day before the span (folded from all history on the first run), and
+        the state of its last day for the run that follows."""
+        store, eve = self.store, span.start - dt.timedelta(1)
+        if not store.exists(store.path(SPACE_STATE, eve)):
+            store.write_day(rankings.space_state(ws.with_(spaces=None), eve), SPACE_STATE, eve)
+        ws = ws.with_(spaces=store.read(SPACE_STATE))
+        # folding the span into one date is what the state of its last day is
+        last = rankings.fold_spaces(ws, span)
+        store.write_day(last, SPACE_STATE, span.end)
+        return ws

@@ -20,6 +20,7 @@ class Workspace:
     """Events and dimensions, plus optional pre-computed parts.
 
     ``activity`` / ``touches``: daily roll-ups (see ``rollups``) read in place of events.
+    ``spaces``: last act per user and space as of some dates (see ``rankings.space_state``).
     ``snapshot``: earlier rows of a result table, for jobs that look back at themselves.
     ``zone``: zone that defines displayed event times.
     """
@@ -32,6 +33,7 @@ class Workspace:
     files: DataFrame | None = None
     activity: DataFrame | None = None
     touches: DataFrame | None = None
+    spaces: DataFrame | None = None
     snapshot: Snapshot = field(default=_no_snapshot)
     zone: str = "UTC"
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import predicates as p
-from ..functions.scalars import epoch_millis_to_local
+from ..functions.scalars import DateLike, epoch_millis_to_local
 from ..operators.periods import Span
 from ..operators.ranking import top_n
 from ..schemas import RESULTS, conform
@@ -34,14 +36,39 @@ def hot_files(ws: Workspace, span: Span, days: int = 1, n: int = 100) -> DataFra
     return conform(ranked, RESULTS[HOT_1D if days == 1 else HOT_7D])
 
 
-def _space_touches(ws: Workspace, span: Span) -> DataFrame:
-    """Per (report date, user, guid): time of the last act on a space, all history."""
+def _space_rows(ws: Workspace, span: Span) -> DataFrame:
+    """(ldate, user, guid, space_time) rows that decide the last act on each report date."""
+    keys = ["ldate", "user_id", "guid", "space_time"]
     if ws.touches is not None:
         rows = ws.touches.filter(F.col("space_time").isNotNull())
     else:
         rows = (ws.events.filter(p.file_type(p.FOLDER_OR_SPACE) & (F.col("sub_type") == p.SPACE))
                 .withColumnRenamed("time", "space_time"))
-    rows = rows.filter(F.col("ldate") <= F.lit(span.end))
+    if ws.spaces is None:
+        return rows.filter(F.col("ldate") <= F.lit(span.end)).select(*keys)
+    eve = F.lit(span.start - dt.timedelta(1))
+    return (rows.filter(span.covers()).select(*keys)
+            .unionByName(ws.spaces.filter(F.col("ldate") == eve).select(*keys)))
+
+
+def space_state(ws: Workspace, date: DateLike) -> DataFrame:
+    """Per (user, guid): time of the last act on a space up to ``date``.
+
+    One row per user and space ever touched. Stored daily, it spares the next day's list
+    the pass over all history; a day that is run again must be followed by the later ones.
+    """
+    return fold_spaces(ws, Span.of(date))
+
+
+def fold_spaces(ws: Workspace, span: Span) -> DataFrame:
+    """``space_state`` of the last date of ``span``, from the state before it and its days."""
+    return (_space_rows(ws, span).groupBy("user_id", "guid").agg(F.max("space_time").alias("space_time"))
+            .select(F.lit(span.end).alias("ldate"), "user_id", "guid", "space_time"))
+
+
+def _space_touches(ws: Workspace, span: Span) -> DataFrame:
+    """Per (report date, user, guid): time of the last act on a space, all history."""
+    rows = _space_rows(ws, span)
     last = F.max("space_time").alias("space_time")
     if span.single:
         return rows.groupBy("user_id", "guid").agg(last).withColumn("ldate", F.lit(span.start))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from tallyboard.operators.periods import Span
-from tallyboard.plans import enterprise, jobs, usage
+from tallyboard.plans import enterprise, jobs, rankings, usage
 from tallyboard.sources.store import Store
 
 START, END = "2024-01-14", "2024-01-15"
@@ -104,3 +104,14 @@ def test_dimensions_are_stored(spark, sf_dir, tmp_path):
     deps, files = jobs.refresh_dimensions(store, fx.edges(spark, sf_dir), fx.file_source(spark, sf_dir, 2),
                                           fx.file_source(spark, sf_dir, 3))
     assert rows(deps) == rows(fx.user_dep(spark, sf_dir)) and files.count() == fx.files(spark, sf_dir).count()
+
+
+@pytest.mark.parametrize("bulk", [True, False])
+def test_carried_space_state_gives_the_same_list(spark, ws, stores, tmp_path, bulk):
+    store = Store(spark, str(tmp_path))
+    run = jobs.Backfill(ws, store, bulk=bulk, carry_spaces=True)
+    run.run(START, START, [rankings.SPACES], lookback=2)
+    run.run(END, "2024-01-16", [rankings.SPACES], lookback=2)
+    got = store.read(rankings.SPACES)
+    assert rows(got.filter(f"ldate <= date'{END}'")) == rows(stores[True].read(rankings.SPACES))
+    assert rows(got.filter("ldate = date'2024-01-16'")) == rows(rankings.updated_spaces(ws, Span.of("2024-01-16")))
