@@ -29,6 +29,17 @@ def as_messages(df):
     return df.select(F.to_json(F.struct("*")).alias("value"))
 
 
+@query("S1_event_stream", with_model(f"SELECT {EVENT_COLS} FROM ev"))
+def s1(spark, sf):
+    """The decoder of the event stream; files stand in for the broker, values are binary."""
+    root = scratch_path(spark, "stream")
+    values = as_messages(fx.shape_events(raw_stream(spark, sf)).drop("ldate")).select(
+        F.col("value").cast("binary").alias("value"))
+    (readers.decode_events(values).writeStream.format("parquet").option("path", f"{root}/events")
+     .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination())
+    return readers.read_parquet(spark, f"{root}/events", schemas.EVENT)
+
+
 @query("S2_registry_header", with_model("SELECT guid, user_id, time FROM ev"))
 def s2(spark, sf):
     """The wire header is taken off; the Avro decoder itself needs a package that is not here,

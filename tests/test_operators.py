@@ -70,6 +70,13 @@ def test_salted_join_keeps_every_row(spark, hot_rows):
     assert as_set(got, "id", "w") == want and got.count() == len(want)
 
 
+def test_salted_join_takes_compound_keys(spark):
+    left = spark.range(300).select(F.struct((F.col("id") % 2).alias("a"), F.lit("x").alias("b")).alias("k"), "id")
+    right = spark.range(3).select(F.struct(F.col("id").alias("a"), F.lit("x").alias("b")).alias("k"), F.col("id").alias("w"))
+    got = salted_inner_join(left, right, ["k"], F.col("id"), salts=3, hot_rows=10)
+    assert as_set(got, "id", "w") == {(i, i % 2) for i in range(300)} and got.count() == 300
+
+
 def test_full_merge_sum(spark):
     a = spark.createDataFrame([("x", 1), ("x", None), (None, 5)], "k string, m int")
     b = spark.createDataFrame([("y", 2), (None, 7)], "k string, n int")

@@ -76,3 +76,61 @@ def test_events_are_counted_before_any_join(ws, no_broadcast):
 def test_rollup_is_one_shuffle(ws):
     text = plan(activity_rollup(ws.events))
     assert text.count("Exchange") == 1 and "partial_sum" in text
+
+
+@pytest.fixture()
+def small_skew_limits(spark, no_broadcast):
+    """Limits that make AQE see skew in test-sized data."""
+    limits = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2000",
+              "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+              "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1000",
+              "spark.sql.adaptive.coalescePartitions.enabled": "false",
+              "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in limits}
+    for k, v in limits.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def final_plan(df):
+    df.collect()
+    return plan(df)
+
+
+def test_spark_splits_a_hot_user_in_the_raw_enrichment(spark, ws, small_skew_limits):
+    from pyspark.sql import functions as F
+
+    from tallyboard.plans.model import enrich_events
+
+    hot = ws.events.withColumn("user_id", F.when(F.col("time") % 3 == 0, "7").otherwise(F.col("user_id")))
+    hot = hot.repartition(8)  # several map tasks, as a real table has
+    assert "skew=true" in final_plan(enrich_events(hot, ws.users))
+
+
+def test_spark_splits_a_hot_department_in_the_org_view(spark, small_skew_limits):
+    from helpers import edges
+
+    from tallyboard.plans.org import organizations
+
+    pairs = [((10, d), (9, 1)) for d in range(20)] + [((11, u), (10, 3 if u % 3 else u % 20)) for u in range(3000)]
+    assert "skew=true" in final_plan(organizations(edges(spark, pairs).repartition(8)))
+
+
+def test_spark_splits_a_file_seen_by_everyone(spark, ws, small_skew_limits):
+    """One guid in a third of the (team, file) rows: the join with the file dimension."""
+    from pyspark.sql import functions as F
+
+    from tallyboard.plans import rankings
+
+    n = 6000
+    events = spark.range(n).select(
+        F.lit(fx.DATE).cast("date").alias("ldate"), F.col("id").cast("string").alias("user_id"),
+        F.when(F.col("id") % 3 == 0, "shared").otherwise(F.concat(F.lit("g"), F.col("id"))).alias("guid"),
+        F.lit(2).alias("file_type"), F.lit("view_file").alias("action_name"))
+    users = spark.range(n).select("id", F.col("id").alias("team_id"), F.lit("n").alias("name"), F.lit(1).alias("is_seat"))
+    files = events.select("guid", F.lit("name").alias("name"), F.lit("2").alias("file_type"), F.lit("0").alias("file_subtype")).distinct()
+    big = ws.with_(events=events.repartition(8), users=users, files=files)
+    df = rankings.hot_files(big, Span.of(fx.DATE))
+    assert "skew=true" in final_plan(df) and df.count() == n
