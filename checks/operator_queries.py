@@ -18,7 +18,7 @@ from tallyboard.plans import enterprise, files, org, quality, reports, usage
 from tallyboard.plans.model import enrich_events, user_teams
 
 from . import fixtures as fx
-from .metric_queries import (COLLAB_COUNTS, COLLAB_ROWS, CUT, D, FILE_COUNTS, FILE_ROWS, H1_FULL, M12_SQL, ORG_VIEW,
+from .metric_queries import (COLLAB_COUNTS, COLLAB_ROWS, D, FILE_COUNTS, FILE_ROWS, H1_FULL, M12_SQL, ORG_VIEW,
                              SEAT_SUMS, SEATS_NOW, TD_COUNTS, counts_sql, h1_full_df, totals)
 from .model_sql import with_model
 from .registry import query

@@ -88,17 +88,20 @@ def updated_spaces(ws: Workspace, span: Span, n: int = 100, per_team: bool = Fal
     The cut is over all teams together; ``per_team`` cuts each team on its own. Ties go to
     the smaller guid.
     """
+    order = [F.asc("team_id"), F.desc("updated_at"), F.asc_nulls_last("guid")]
+
+    def cut(rows: DataFrame, order) -> DataFrame:
+        if per_team:
+            return top_n(rows, ["ldate", "team_id"], order[1:], n)
+        return rows.orderBy(*order).limit(n) if span.single else top_n(rows, ["ldate"], order, n)
+
     touched = (_space_touches(ws, span).join(user_teams(ws.users), "user_id")
                .groupBy("ldate", "team_id", "guid").agg(F.max("space_time").alias("space_time"))
-               .filter(F.col("space_time").isNotNull()))
-    names = ws.need("files").select("guid", "name").distinct()
-    rows = touched.join(names, "guid", "left").withColumn(
-        "updated_at", epoch_millis_to_local(F.col("space_time"), ws.zone))
-    order = [F.asc("team_id"), F.desc("updated_at"), F.asc_nulls_last("guid"), F.asc_nulls_last("name")]
-    if per_team:
-        kept = top_n(rows, ["ldate", "team_id"], order[1:], n)
-    elif span.single:
-        kept = rows.orderBy(*order).limit(n)
-    else:
-        kept = top_n(rows, ["ldate"], order, n)
-    return conform(kept, RESULTS[SPACES])
+               .filter(F.col("space_time").isNotNull())
+               .select("ldate", "team_id", "guid",
+                       epoch_millis_to_local(F.col("space_time"), ws.zone).alias("updated_at")))
+    # A space yields a row per name it has, next to each other in the order, so the first n
+    # rows come from the first n spaces: cut before the names are looked up, and once more after.
+    named = (cut(touched, order).drop("row_number")
+             .join(ws.need("files").select("guid", "name"), "guid", "left").distinct())
+    return conform(cut(named, [*order, F.asc_nulls_last("name")]), RESULTS[SPACES])

@@ -205,6 +205,13 @@ def test_spaces_latest_act_and_global_cut(spark):
     assert as_set(rankings.updated_spaces(ws, D, n=1, per_team=True), "team_id", "guid") == {(10, None), (11, "s2")}
 
 
+def test_spaces_with_several_names_are_cut_like_rows(spark):
+    ws = workspace(spark, [space("1", "s1", seconds=9), space("1", "s2", seconds=5)],
+                   files=files(spark, [("s1", "B", "1", "2"), ("s1", "A", "1", "2"), ("s1", "A", "1", "2"), ("s2", "C", "1", "2")]))
+    for n, want in ((1, ["A"]), (2, ["A", "B"]), (3, ["A", "B", "C"])):
+        assert [r.name for r in rankings.updated_spaces(ws, D, n=n).collect()] == want
+
+
 # --- downloads -----------------------------------------------------------------------------
 def test_member_download_repeats_per_department(spark):
     rows = [event("1", "view_file"), event("1", "create_obj", kind=1, sub=2), event("1", "create_obj", kind=1, sub=1),
