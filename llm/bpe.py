@@ -30,7 +30,9 @@ WHITE = regex.compile(r"[\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\
 #: What ``str.split()`` takes for white space besides.
 SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 BLOCK_ROWS = 256
-MEMO_WORDS = 200_000
+MEMO_CHUNKS = 200_000
+MEMO_PIECES = 200_000
+MEMO_PREFIXES = 400_000
 
 
 class TrieEncoder:
@@ -50,6 +52,7 @@ class TrieEncoder:
         self.longest = max(self.symbols.values())
         self.text = {i: t for t, i in vocab.items()}
         self.fits: dict[tuple[int, int], bool] = {}
+        self.known: dict[str, int] = {}  # states of prefixes met in earlier blocks
         self.reached: dict[int, bool] = {}
         self.usable = {t: i for t, i in vocab.items() if self._reachable(i)}
 
@@ -81,11 +84,11 @@ class TrieEncoder:
             else:  # of equal ranks the left one is made first, and so may the crossing one be
                 limit, right = b + 1, parts[right][0]
 
-    def _last(self, s: str, end: int, mark: str, states: list[int]) -> int:
-        """The last token of ``s[:end]`` (+ mark), given the states of all shorter prefixes."""
-        usable, fits = self.usable, self.fits
+    def _last(self, s: str, mark: str, states: list[int]) -> int:
+        """The last token of ``s`` (+ mark), given the states of all shorter prefixes."""
+        usable, fits, end = self.usable, self.fits, len(s)
         for start in range(max(0, end - self.longest), end):
-            token = usable.get(s[start:end] + mark)
+            token = usable.get(s[start:] + mark)
             if token is not None:
                 if start == 0:
                     return token
@@ -95,7 +98,7 @@ class TrieEncoder:
                     ok = fits[pair] = self._apart(*pair)
                 if ok:
                     return token
-        raise ValueError(f"no token ends {s[:end]!r}")
+        raise ValueError(f"no token ends {s!r}")
 
     def encode(self, words: Iterable[str]) -> dict[str, list[int]]:
         """Token ids of each distinct word (none of them empty)."""
@@ -103,38 +106,52 @@ class TrieEncoder:
         for word in words:
             node = root
             for c in word[:-1]:
-                node = node.setdefault(c, {})
+                below = node.get(c)
+                if below is None:
+                    below = node[c] = {}
+                node = below
             node[word[-1] + "\0"] = word
-        if len(self.fits) > 2_000_000:
+        known = self.known
+        if len(known) > MEMO_PREFIXES:
+            known.clear()
+        if len(self.fits) > MEMO_PREFIXES:
             self.fits.clear()
         out: dict[str, list[int]] = {}
-        states, path = [-1], []
-        stack = [iter(root.items())]
+        symbols, states = self.symbols, [-1]
+        stack = [("", iter(root.items()))]
         while stack:
-            step = next(stack[-1], None)
-            if step is None:
-                stack.pop()
-                if path:
-                    path.pop()
-                    states.pop()
-                continue
-            edge, below = step
-            if len(edge) == 1:
-                path.append(edge)
-                states.append(self._last("".join(path), len(path), "", states))
-                stack.append(iter(below.items()))
+            prefix, children = stack[-1]
+            for edge, below in children:
+                if len(edge) > 1:
+                    token, end, ids = self._last(below, self.word_end, states), len(below), []
+                    while True:
+                        ids.append(token)
+                        end -= symbols[token]
+                        if end == 0:
+                            break
+                        token = states[end]
+                    out[below] = ids[::-1]
+                else:
+                    longer = prefix + edge
+                    state = known.get(longer)
+                    if state is None:
+                        state = known[longer] = self._last(longer, "", states)
+                    states.append(state)
+                    stack.append((longer, iter(below.items())))
+                    break
             else:
-                token, end, ids = self._last(below, len(below), self.word_end, states), len(below), []
-                while True:
-                    ids.append(token)
-                    end -= self.symbols[token]
-                    if end == 0:
-                        break
-                    token = states[end]
-                out[below] = ids[::-1]
+                stack.pop()
+                states.pop()
         return out
 
 
+def _byte_letters() -> dict[str, str]:
+    """The letter that stands for each byte: printable Latin-1 for itself, the others from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): chr(b) for b in printable} | {chr(b): chr(0x100 + k) for k, b in enumerate(others)}
+
+
 class TextEncoder:
     """Texts to ids and back as the tokenizer file says; all results are kept per word as strings."""
 
@@ -151,18 +168,35 @@ class TextEncoder:
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names = self.trie.text | {i: t for t, i in self.added.items()}
         self.split_added = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")") if self.added else None
-        self.memo = Memo(self._one, MEMO_WORDS)
+        self.id_text = {i: str(i) for i in self.names}
+        self.memo = Memo(lambda chunk: self._entries([chunk])[chunk], MEMO_CHUNKS)
+        self.words = Memo(lambda word: self._entry(self.trie.encode([word])[word]), MEMO_PIECES)
+        pattern = next((p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"), None)
+        self.latin = regex.compile(pattern).findall if pattern and tokenizer.normalizer else None
+        self.letters = str.maketrans(_byte_letters())
 
     def _entry(self, ids: list[int]) -> tuple[int, str, str]:
-        return len(ids), " ".join(map(str, ids)), " ".join([self.names[i] for i in ids])
+        return len(ids), " ".join([self.id_text[i] for i in ids]), " ".join([self.names[i] for i in ids])
 
-    def _one(self, chunk: str) -> tuple[int, str, str]:
-        return self._entries([chunk])[chunk]
+    def _pieces(self, chunk: str) -> list[str]:
+        """The words of a chunk over the byte alphabet. Latin text needs no help from the library."""
+        if self.latin and (chunk.isascii() or max(chunk) < "\u0250"):
+            pieces = self.latin(chunk.lower())
+            return pieces if chunk.isascii() and chunk.isprintable() else [p.encode().decode("latin-1").translate(self.letters) for p in pieces]
+        return [p for p, _ in self.pieces(self.normalize(chunk)) if p]
 
     def _entries(self, chunks: Iterable[str]) -> dict[str, tuple[int, str, str]]:
-        pieces = {c: [p for p, _ in self.pieces(self.normalize(c))] for c in chunks}
-        encoded = self.trie.encode({p for ps in pieces.values() for p in ps if p})
-        return {c: self._entry([i for p in ps if p for i in encoded[p]]) for c, ps in pieces.items()}
+        pieces, words = {c: self._pieces(c) for c in chunks}, self.words
+        new = {p for ps in pieces.values() for p in ps if p not in words and p not in words.old}
+        words.add({w: self._entry(ids) for w, ids in self.trie.encode(new).items()})
+        out = {}
+        for c, ps in pieces.items():
+            if len(ps) == 1:
+                out[c] = words[ps[0]]
+            else:
+                parts = [words[p] for p in ps]
+                out[c] = (sum([x[0] for x in parts]), " ".join([x[1] for x in parts]), " ".join([x[2] for x in parts]))
+        return out
 
     def chunks(self, text: str) -> list[str]:
         """Parts of the text, cut at white space and added tokens, that are encoded on their own."""
@@ -173,14 +207,10 @@ class TextEncoder:
 
     def learn(self, chunks: Iterable[str]) -> None:
         """Encode the chunks not met before together, so that they share one trie."""
-        memo, old = self.memo, self.memo.old
-        new = [c for c in chunks if c not in memo and c not in old]
-        plain = [c for c in new if c not in self.added]
-        found = self._entries(plain) | {c: self._entry([self.added[c]]) for c in new if c in self.added}
-        if len(memo) + len(found) > memo.limit:
-            memo.old = dict(memo)
-            memo.clear()
-        memo.update(found)
+        memo = self.memo
+        new = [c for c in chunks if c not in memo and c not in memo.old]
+        added = {c: self._entry([self.added[c]]) for c in new if c in self.added}
+        memo.add(self._entries([c for c in new if c not in added]) | added)
 
     def encode_block(self, texts: list[str]) -> Iterator[list[tuple[int, str, str]]]:
         """For each text the entries (count, ids, tokens) of its chunks."""

@@ -65,8 +65,11 @@ class Memo(dict):
         value = self.old.get(key)
         if value is None:
             value = self.work(key)
-        if len(self) >= self.limit:
+        self.add({key: value})
+        return value
+
+    def add(self, values: dict) -> None:
+        if len(self) + len(values) > self.limit:
             self.old = dict(self)
             self.clear()
-        self[key] = value
-        return value
+        self.update(values)
