@@ -1,4 +1,4 @@
 """All queries of this package."""
 
-from llm import bpe, chat, embeddings, minhash, packing, quality, sharding, toxicity, warc  # noqa: F401  (these register their queries)
+from llm import bpe, chat, embeddings, minhash, packing, quality, sharding, substring, toxicity, warc  # noqa: F401  (these register their queries)
 from llm.registry import ORACLES, QUERIES  # noqa: F401

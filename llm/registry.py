@@ -73,3 +73,29 @@ class Memo(dict):
             self.old = dict(self)
             self.clear()
         self.update(values)
+
+
+def sorted_groups(batches, keys: list[str]):
+    """The runs of rows with equal keys in batches sorted by them, as Arrow tables; one run is held at a time."""
+    import numpy as np
+    import pyarrow as pa
+
+    rest = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        if rest is not None:
+            rows = pa.concat_tables([rest, rows])
+        new = np.zeros(rows.num_rows, bool)
+        new[0] = True
+        for key in keys:
+            values = rows.column(key).to_numpy()
+            new[1:] |= values[1:] != values[:-1]
+        starts = np.flatnonzero(new)
+        rows = rows.combine_chunks()
+        for a, b in zip(starts, starts[1:]):
+            yield rows.slice(a, b - a)
+        rest = rows.slice(starts[-1])
+    if rest is not None:
+        yield rest
