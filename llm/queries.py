@@ -1,4 +1,7 @@
-"""All queries of this package."""
+"""All queries of this package, with the corpus pipeline."""
 
+import corpus_pipeline
 from llm import bpe, chat, embeddings, minhash, packing, quality, sharding, substring, toxicity, warc  # noqa: F401  (these register their queries)
-from llm.registry import ORACLES, QUERIES  # noqa: F401
+from llm.registry import ORACLES, QUERIES, query
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
