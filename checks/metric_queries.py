@@ -13,7 +13,7 @@ from tallyboard.sources.store import Store
 
 from . import fixtures as fx
 from .model_sql import CUT, D, with_model
-from .registry import query
+from .registry import ORACLES, query
 
 DAY = Span.of(fx.DATE)
 
@@ -563,5 +563,25 @@ def b1(spark, sf):
     store = Store(spark, scratch_path(spark, "backfill"))
     ws = fx.workspace(spark, sf)
     table = "file_7d_product_statistic_by_global"
-    jobs.Backfill(ws, store).run("2024-01-13", "2024-01-15", [table], lookback=6)
+    jobs.Backfill(ws, store).run("2024-01-13", "2024-01-15", [table])
     return store.read(table).select("ldate", "team_id", "create_objs", "create_docxs", "create_clouds")
+
+
+def _repaired(spark, sf, task, first: str, events_of_first=lambda events: events):
+    """Rows of 2024-01-15 after an earlier run that saw other events, or left a gap."""
+    store = Store(spark, scratch_path(spark, "backfill"))
+    ws = fx.workspace(spark, sf, "files")
+    jobs.Backfill(ws.with_(events=events_of_first(ws.events)), store).run(first, tasks=[task])
+    jobs.Backfill(ws, store).run(fx.DATE, tasks=[task])
+    return store.read_day(task, fx.DATE)
+
+
+def _late(events):
+    return events.filter("ldate <> date'2024-01-12' OR pmod(hash(time, user_id), 5) <> 0")
+
+
+for _id, _task in (("M07", usage.COLLAB_30D_BY_MEMBER.table), ("M08", usage.PRODUCT_BY_TEAM.table),
+                   ("M14", rankings.HOT_7D), ("M15", rankings.SPACES)):
+    _sql = ORACLES[f"{_id}_{_task}"]
+    query(f"B1_backfill_after_gap_{_id}", _sql)(lambda spark, sf, t=_task: _repaired(spark, sf, t, "2024-01-03"))
+    query(f"B1_late_rows_{_id}", _sql)(lambda spark, sf, t=_task: _repaired(spark, sf, t, "2024-01-14", _late))

@@ -56,17 +56,37 @@ def refresh_dimensions(store: Store, edges: DataFrame, current_files: DataFrame,
     return store.read_dimension("user_dep"), store.read_dimension("files")
 
 
+# Days of raw events that one report looks at; the widest table of a run sets the look-back.
+WINDOW_DAYS: dict[str, int] = {
+    **{m.table: m.days for m in (
+        usage.FILE_BY_TEAM, usage.FILE_BY_DEPARTMENT, usage.FILE_BY_MEMBER,
+        usage.COLLAB_BY_TEAM, usage.COLLAB_BY_DEPARTMENT, usage.COLLAB_BY_MEMBER,
+        usage.COLLAB_30D_BY_MEMBER,
+        usage.PRODUCT_BY_TEAM, usage.PRODUCT_BY_DEPARTMENT, usage.PRODUCT_BY_MEMBER)},
+    enterprise.USERS_TABLE: 14, enterprise.CREATION_TABLE: 14,
+}
+WIDEST = 30
+LEDGER = "_days"
+
+
 @dataclass(frozen=True)
 class Backfill:
     """Runs jobs over start..end and stores their rows.
 
-    Roll-ups are computed for the span, and for earlier days only where they are missing
-    (``refresh`` recomputes those too). ``bulk`` computes all dates of a job in one Spark
-    job; without it the dates run one by one. Both give the same rows.
+    Each roll-up has a ledger of the days it holds and of the events each day had when it was
+    rolled up. A run brings every day that its reports look at up to date: days that are missing,
+    whatever the gap since the last run, and days whose number of events has changed since, because
+    rows came late. A day rewritten with as many rows as before is not noticed; ``refresh`` rolls
+    up all days again. ``bulk`` computes all dates of a job in one Spark job; without it the dates
+    run one by one. Both give the same rows.
+
+    ``catch_up`` also computes the stored reports before the span again, from the first day on
+    that had late rows. ``serve(task, date, rows)`` is called for each task and date after its
+    rows are stored, to hand them to a serving database.
 
     ``carry_spaces`` keeps the last act per space from run to run, so that the list of updated
-    spaces reads the days of the span instead of all history; after a change in the past, the
-    run must then go on from that date to the present.
+    spaces reads the days of the span instead of all history. A state that late rows have made
+    stale is folded anew.
     """
 
     ws: Workspace
@@ -74,56 +94,79 @@ class Backfill:
     bulk: bool = True
     refresh: bool = False
     carry_spaces: bool = False
+    catch_up: bool = False
+    serve: Callable[[str, dt.date, DataFrame], None] | None = None
 
-    def run(self, start, end=None, tasks: Sequence[str] | None = None, lookback: int = 29) -> None:
+    def run(self, start, end=None, tasks: Sequence[str] | None = None, lookback: int = 0) -> None:
+        """``lookback`` may lengthen the look-back that the tasks need, never shorten it."""
         span = Span.of(start, end)
         unknown = [t for t in tasks or () if t not in JOBS]
         if unknown:
             raise KeyError(f"unknown tasks: {unknown}")
         wanted = [t for t in JOBS if tasks is None or t in tasks]
-        ws = self.with_rollups(span, lookback, touches=any(t in FROM_TOUCHES for t in wanted))
+        days = max(lookback + 1, *(WINDOW_DAYS.get(t, WIDEST) for t in wanted))
+        ws, redone = self.with_rollups(span, days, any(t in FROM_TOUCHES for t in wanted), rankings.SPACES in wanted)
+        if self.catch_up:
+            reported = [d for t in wanted for d in self.store.days(t) if d < span.start and redone and d >= min(redone)]
+            if reported:
+                span = Span(min(reported), span.end)
+                ws, _ = self.with_rollups(span, days, any(t in FROM_TOUCHES for t in wanted), rankings.SPACES in wanted)
         carry = self.carry_spaces and rankings.SPACES in wanted
         for part in ([span] if self.bulk else [Span.of(d) for d in span.dates()]):
             if carry:
-                ws = self.with_spaces(ws, part)
+                ws = self.with_spaces(ws, part, redone)
             for task in wanted:
                 self.store.write_span(JOBS[task](ws, part), task, part)
+                if self.serve:
+                    for d in part.dates():
+                        self.serve(task, d, self.store.read_day(task, d))
 
-    def with_rollups(self, span: Span, lookback: int = 29, touches: bool = True) -> Workspace:
-        """Bring the roll-ups up to date; returns a workspace that reads them.
+    def with_rollups(self, span: Span, days: int = WIDEST, touches: bool = True,
+                     history: bool = True) -> tuple[Workspace, list[dt.date]]:
+        """Bring the roll-ups up to date; a workspace that reads them, and the earlier days rolled up again.
 
-        The list of updated spaces looks at all history, so the first run folds all events
-        up to the span into the touch roll-up; later runs only add days.
+        ``history`` covers all days up to the span, which the list of updated spaces looks at.
         """
-        store, events = self.store, self.ws.events
-        eve = Span(span.start - dt.timedelta(lookback), span.start - dt.timedelta(1))
-
-        def todo(table: str) -> Span:
-            missing = [d for d in eve.dates()
-                       if self.refresh or not store.exists(store.path(table, d))]
-            return Span(missing[0] if missing else span.start, span.end)
-
-        days = todo(ACTIVITY)
-        store.write_span(activity_rollup(events.filter(days.covers())), ACTIVITY, days)
-        ws = self.ws.with_(activity=store.read(ACTIVITY), snapshot=store.snapshot)
-        if not touches:
-            return ws
-        history = not store.exists(store.path(TOUCHES))
-        days = todo(TOUCHES)
-        if history:
-            before = events.filter(F.col("ldate") < F.lit(days.start))
-            store.write_dates(touch_rollup(before), TOUCHES)
-        store.write_span(touch_rollup(events.filter(days.covers())), TOUCHES, days)
-        return ws.with_(touches=store.read(TOUCHES))
-
-    def with_spaces(self, ws: Workspace, span: Span) -> Workspace:
-        """State of the day before the span (folded from all history on the first run), and
-        the state of its last day for the run that follows."""
+        start = span.start - dt.timedelta(days - 1)
+        redone = self._roll_up(ACTIVITY, activity_rollup, Span(start, span.end), False)
+        ws = self.ws.with_(activity=self.store.read(ACTIVITY), snapshot=self.store.snapshot)
+        if touches:
+            redone = sorted({*redone, *self._roll_up(TOUCHES, touch_rollup, Span(start, span.end), history)})
+            ws = ws.with_(touches=self.store.read(TOUCHES))
+        return ws, redone
+
+    def _roll_up(self, table: str, rollup, span: Span, history: bool) -> list[dt.date]:
+        """Roll up the days of the span (of all history up to its end) that the ledger lacks or has with
+        another number of events; returns those that were in the ledger. One row per day reaches the driver."""
+        store = self.store
+        ledger = store.read_dimension(table + LEDGER).collect() if store.exists(store.path(table + LEDGER)) else []
+        known = {r["ldate"]: r["events"] for r in ledger}
+        events = self.ws.events.filter(F.col("ldate") <= F.lit(span.end))
+        if not history:
+            events = events.filter(F.col("ldate") >= F.lit(span.start))
+        found = {r["ldate"]: r["count"] for r in events.groupBy("ldate").count().collect()}
+        needed = {*span.dates(), *found} | ({d for d in known if d <= span.end} if history else set())
+        stale = sorted(d for d in needed if self.refresh or known.get(d) != found.get(d, 0))
+        if not stale:
+            return []
+        rows = rollup(events.filter(F.col("ldate").isin(stale)))
+        store.write_listed(rows, table, stale)
+        known, before = known | {d: found.get(d, 0) for d in stale}, set(known)
+        # the ledger is written after the days it speaks of: a run that stops in between does them again
+        store.replace(store.spark.createDataFrame(sorted(known.items()), "ldate date, events long").coalesce(1), table + LEDGER)
+        return [d for d in stale if d in before]
+
+    def with_spaces(self, ws: Workspace, span: Span, redone: Sequence[dt.date] = ()) -> Workspace:
+        """State of the day before the span (folded from all history on the first run, and when a day up
+        to it was rolled up again), and the state of its last day for the run that follows. Older states go."""
         store, eve = self.store, span.start - dt.timedelta(1)
-        if not store.exists(store.path(SPACE_STATE, eve)):
+        if not store.exists(store.path(SPACE_STATE, eve)) or any(d <= eve for d in redone):
             store.write_day(rankings.space_state(ws.with_(spaces=None), eve), SPACE_STATE, eve)
         ws = ws.with_(spaces=store.read(SPACE_STATE))
         # folding the span into one date is what the state of its last day is
         last = rankings.fold_spaces(ws, span)
         store.write_day(last, SPACE_STATE, span.end)
+        for d in store.days(SPACE_STATE):
+            if d < eve:
+                store.drop_day(SPACE_STATE, d)
         return ws

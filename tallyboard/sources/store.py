@@ -50,24 +50,40 @@ class Store:
         return set(seen.get["dates"])
 
     def write_span(self, df: DataFrame, table: str, span: Span) -> None:
-        """Replace every date of the span.
+        """Replace every date of the span."""
+        if span.single:
+            return self.write_day(df, table, span.start)
+        self.write_listed(df.filter(span.covers()), table, span.dates())
+
+    def write_listed(self, df: DataFrame, table: str, dates: list) -> None:
+        """Replace the listed dates; ``df`` has rows of no others.
 
         Dates without rows are cleared when an earlier run left rows there; otherwise an
         empty folder records that the date was computed.
         """
-        if span.single:
-            return self.write_day(df, table, span.start)
-        written = self.write_dates(df.filter(span.covers()), table)
-        for d in span.dates():
+        written = self.write_dates(df, table)
+        for d in dates:
             if d in written:
                 continue
             path = self.path(table, d)
-            if self.exists(path) or (not written and d == span.end):
+            if self.exists(path) or (not written and d == dates[-1]):
                 self.write_day(df.limit(0), table, d)
             else:
                 fs, folder = self._folder(path)
                 fs.mkdirs(folder)
 
+    def drop_day(self, table: str, date: DateLike) -> None:
+        fs, folder = self._folder(self.path(table, date))
+        fs.delete(folder, True)
+
+    def days(self, table: str) -> list:
+        """Dates that have a folder, in order."""
+        fs, folder = self._folder(self.path(table))
+        if not fs.exists(folder):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(folder)]
+        return sorted(as_date(n.removeprefix("ldate=")) for n in names if n.startswith("ldate="))
+
     def read(self, table: str, span: Span | None = None) -> DataFrame:
         df = self.spark.read.parquet(self.path(table))
         df = df.withColumn("ldate", F.col("ldate").cast("date"))

@@ -115,3 +115,33 @@ def test_carried_space_state_gives_the_same_list(spark, ws, stores, tmp_path, bu
     got = store.read(rankings.SPACES)
     assert rows(got.filter(f"ldate <= date'{END}'")) == rows(stores[True].read(rankings.SPACES))
     assert rows(got.filter("ldate = date'2024-01-16'")) == rows(rankings.updated_spaces(ws, Span.of("2024-01-16")))
+
+
+def late(ws, day):
+    """The workspace as it was before a fifth of a day's events had come in."""
+    return ws.with_(events=ws.events.filter(f"ldate <> date'{day}' OR pmod(hash(time, user_id), 5) <> 0"))
+
+
+REPAIRED = [usage.COLLAB_30D_BY_MEMBER.table, usage.PRODUCT_BY_TEAM.table, rankings.HOT_7D, rankings.SPACES]
+
+
+@pytest.mark.parametrize("carry", [True, False])
+def test_gap_between_runs_is_filled(spark, ws, tmp_path, carry):
+    store = Store(spark, str(tmp_path))
+    jobs.Backfill(ws, store, carry_spaces=carry).run("2024-01-03", tasks=REPAIRED, lookback=2)
+    jobs.Backfill(ws, store, carry_spaces=carry).run("2024-01-25", tasks=REPAIRED, lookback=2)
+    for table in REPAIRED:
+        assert rows(store.read_day(table, "2024-01-25")) == rows(jobs.JOBS[table](ws, Span.of("2024-01-25")))
+
+
+@pytest.mark.parametrize("carry", [True, False])
+def test_late_rows_are_rolled_up(spark, ws, tmp_path, carry):
+    store = Store(spark, str(tmp_path))
+    jobs.Backfill(late(ws, "2024-01-12"), store, carry_spaces=carry).run("2024-01-13", "2024-01-14", REPAIRED)
+    served = []
+    run = jobs.Backfill(ws, store, carry_spaces=carry, catch_up=True, serve=lambda task, day, df: served.append((task, day, df.count())))
+    run.run(END, tasks=REPAIRED)
+    for table in REPAIRED:
+        for day in ("2024-01-13", END):
+            assert rows(store.read_day(table, day)) == rows(jobs.JOBS[table](ws, Span.of(day)))
+    assert {(t, d.day) for t, d, _ in served} == {(t, d) for t in REPAIRED for d in (13, 14, 15)} and all(n for *_, n in served)
