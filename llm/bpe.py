@@ -145,7 +145,7 @@ class TrieEncoder:
         return out
 
 
-def _byte_letters() -> dict[str, str]:
+def byte_letters() -> dict[str, str]:
     """The letter that stands for each byte: printable Latin-1 for itself, the others from U+0100 on."""
     printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = [b for b in range(256) if b not in printable]
@@ -173,7 +173,7 @@ class TextEncoder:
         self.words = Memo(lambda word: self._entry(self.trie.encode([word])[word]), MEMO_PIECES)
         pattern = next((p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"), None)
         self.latin = regex.compile(pattern).findall if pattern and tokenizer.normalizer else None
-        self.letters = str.maketrans(_byte_letters())
+        self.letters = str.maketrans(byte_letters())
 
     def _entry(self, ids: list[int]) -> tuple[int, str, str]:
         return len(ids), " ".join([self.id_text[i] for i in ids]), " ".join([self.names[i] for i in ids])

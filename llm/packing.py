@@ -14,6 +14,7 @@ gives no rows. Other columns of the input are ignored.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 import zlib
@@ -24,45 +25,49 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.registry import Memo, per_worker, query, stored, table, text_or_empty
+from llm.bpe import byte_letters
+from llm.registry import per_worker, query, stored, table, text_or_empty
 
 #: A bin with no more than this share of its capacity free is emitted at once.
 NEARLY_FULL = 1 / 256
 FAN_IN = 8
 BINS_PER_TASK = 10_000
 BLOCK_ROWS = 256
-MEMO_CHUNKS = 200_000
-#: Borders at which the vocabulary's own pattern always cuts.
-CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
+#: How byte-level vocabularies of this kind cut a text, a fixed value.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+LONG_RUN = 20_000
+RUN = re.compile(r"\S{%d}|\s{%d}" % (LONG_RUN, LONG_RUN))
 
 
-class ChunkTokenizer:
-    """Ids of whole texts as little-endian uint32 bytes; the library encodes each distinct chunk once."""
+class ByteTokenizer:
+    """Ids of whole texts, as the tokenizers library gives them, as little-endian uint32 bytes.
+
+    The file's vocabulary is byte-level with ids in merge order, which tiktoken encodes several
+    times faster to the same ids. Texts with the names of added tokens or with very long runs that
+    no pattern cuts go to the library itself, and so does everything for files of another kind.
+    """
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo = Memo(self._encode, MEMO_CHUNKS)
-
-    def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        cut, vocab = spec["pre_tokenizer"] or {}, spec["model"]["vocab"]
+        plain = (spec["normalizer"] is None and cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
+                 and sorted(vocab.values()) == list(range(len(vocab))))
+        byte_of = {letter: ord(b) for b, letter in byte_letters().items()}
+        ranks = {bytes(byte_of[c] for c in token): i for token, i in vocab.items() if token not in self.added} if plain else None
+        self.fast = tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}) if plain else None
 
-    def encode_block(self, texts: list[str]) -> Iterator[bytes]:
-        odd = [any(a in t for a in self.added) or any(c in t for c in SEPARATORS) for t in texts]
-        cut = [None if whole else CHUNK.findall(t) for t, whole in zip(texts, odd)]
-        memo = self.memo
-        new = [c for c in set().union(*(x for x in cut if x)) if c not in memo and c not in memo.old]
-        if new:
-            encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            memo.add({c: np.array(e.ids, "<u4").tobytes() for c, e in zip(new, encoded)})
-        get = memo.__getitem__
-        for text, chunks in zip(texts, cut):
-            yield self._encode(text) if chunks is None else b"".join(map(get, chunks))
+    def encode(self, text: str) -> bytes:
+        if self.fast is None or any(a in text for a in self.added) or len(text) > LONG_RUN and RUN.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id",
@@ -72,13 +77,13 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = 1024, end_id: int =
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = per_worker(f"pack:{path}", lambda: ChunkTokenizer(path))
+        tokenizer = per_worker(f"pack:{path}", lambda: ByteTokenizer(path))
         for whole in batches:
             for at in range(0, whole.num_rows, BLOCK_ROWS):
                 batch = whole.slice(at, BLOCK_ROWS)
                 row, piece, start, length, crc, ids = [], [], [], [], [], []
-                for k, data in enumerate(tokenizer.encode_block(batch.column(1).to_pylist())):
-                    data += end
+                for k, text in enumerate(batch.column(1)):
+                    data = tokenizer.encode(text.as_py()) + end
                     n = len(data) // 4
                     cuts = [0, *range(n % capacity or capacity, n, capacity), n]
                     for p, (a, b) in enumerate(zip(cuts, cuts[1:])):
