@@ -5,8 +5,8 @@ minimum of the first filled bin in a random order of its own (optimal densificat
 ``ROWS`` bins are bucket keys. Equal sets are one class from the start. In each bucket a hub is
 compared with all other members (a star, so as many pairs as members) on the full sets, and links
 of 0.8 or more are joined into components. So that no link is lost, buckets that still hold several
-components get more hubs, twice as many each time, until every pair of members was in a star or its
-two ends are in one component.
+components get a few more hubs, and what is then left in mixed buckets is compared exactly: all pairs
+that can be similar enough, found by their rarest shingles.
 
 Words are ``[^\x20\x09-\x0D]+`` after lower-casing A-Z; texts of fewer words than a shingle are one
 shingle, texts without words have none and are linked with nothing. NULL text: no words. Rows
@@ -30,6 +30,8 @@ from llm.registry import Memo, per_worker, query, stored, table, text_or_empty
 #: A pair of similarity 0.8 shares none of the bands with a chance of 3e-5, one of 0.85 with 2e-7.
 BANDS, ROWS = 26, 5
 PERCENT = 80
+#: Hubs of each bucket in the first and in the second round of stars.
+STARS = (1, 4)
 MEMO_WORDS = 300_000
 
 
@@ -125,6 +127,36 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         100 * F.col("shared") >= PERCENT * (F.col("total") - F.col("shared"))).select("hub", "doc").distinct()
 
 
+def _rest_pairs(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """All pairs (hub, doc) of ``rest`` (doc, component) of different components that may be similar enough.
+
+    With the shingles of each set in one order, rarest first, two sets that are similar enough meet in
+    their first fifth (and one), and so early that what follows can still make up the overlap. Shingles
+    that one component alone has there are left out, and the most frequent component of a shingle is
+    only met by the others. So copies of one text whose own changes keep them apart meet in hardly any
+    pair, however many they are.
+    """
+    mine = sets.join(rest, sets["doc_id"] == rest["doc"], "left_semi")
+    each = stored(mine.select(F.col("doc_id").alias("doc"), F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")), "shingles")
+    counts = each.groupBy("shingle").count()
+    ordered = each.join(counts, "shingle").groupBy("doc").agg(
+        F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("count", "shingle"))).alias("order_"))
+    length = F.col("n") - F.ceil(F.col("n") * PERCENT / 100).cast("int") + 1
+    entries = ordered.select("doc", "n", F.posexplode(F.slice("order_", F.lit(1), length)).alias("pos", "x")).select(
+        "doc", "n", "pos", F.col("x.shingle").alias("shingle")).join(rest, "doc")
+    entries = stored(entries, "entries")
+    by_component = entries.groupBy("shingle", "component").count()
+    tops = by_component.groupBy("shingle").agg(F.max_by("component", "count").alias("top"), F.count(F.lit(1)).alias("several")).filter("several > 1")
+    entries = stored(entries.join(tops.drop("several"), "shingle"), "entries")
+    x = entries.filter("component <> top").alias("x")
+    y = entries.alias("y")
+    at_most = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+    near = (100 + PERCENT) * at_most >= PERCENT * (F.col("x.n") + F.col("y.n"))
+    once = (F.col("y.component") == F.col("y.top")) | (F.col("x.doc") < F.col("y.doc"))
+    met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component")) & once & near)
+    return met.select(F.least("x.doc", "y.doc").alias("hub"), F.greatest("x.doc", "y.doc").alias("doc")).distinct()
+
+
 def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -133,28 +165,34 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
     rows = classes.select(F.explode("bands").alias("bucket"), F.col("rep").alias("doc"), "n")
     shared = rows.groupBy("bucket").agg(F.min("doc").alias("x"), F.max("doc").alias("y")).filter("x < y").select("bucket")
-    members = stored(rows.join(shared, "bucket"), "buckets")
+    members = stored(rows.join(shared, "bucket").withColumn("component", F.col("doc")), "buckets")
     sets = stored(_sets(docs, stored(members.select(F.col("doc").alias("doc_id")).distinct(), "ids"), size).distinct(), "sets")
-    links, found, hubs_each = None, None, 1
-    while not members.isEmpty():
-        slot = F.pmod(F.xxhash64("doc", F.lit(hubs_each)), F.lit(hubs_each))
-        hubs = members.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("doc", "n", *(["component"] if found is not None else []))).alias("h"))
-        hubs = stored(hubs.select("bucket", F.col("h.doc").alias("hub"), F.col("h.n").alias("hub_n"),
-                                  *([F.col("h.component").alias("hub_component")] if found is not None else [])), "hubs")
-        pairs = members.join(hubs, "bucket").filter(
-            (F.col("doc") != F.col("hub")) & (100 * F.least("n", "hub_n") >= PERCENT * F.greatest("n", "hub_n")))
-        if found is not None:
-            pairs = pairs.filter("component <> hub_component")
-        pairs = stored(pairs.select("hub", "doc").distinct(), "pairs")
-        new = stored(_confirmed(pairs, sets).select(F.col("hub").alias("a"), F.col("doc").alias("b")), "confirmed")
+    links = found = None
+
+    def join_links(pairs: DataFrame) -> None:
+        nonlocal links, found
+        new = stored(_confirmed(stored(pairs, "pairs"), sets).select(F.col("hub").alias("a"), F.col("doc").alias("b")), "confirmed")
         if found is None or not new.isEmpty():
             links = new if links is None else links.unionByName(new)
             found = stored(components(links), "components")
+
+    for hubs_each in STARS:
+        if members.isEmpty():
+            break
+        slot = F.pmod(F.xxhash64("doc", F.lit(hubs_each)), F.lit(hubs_each))
+        hubs = members.groupBy("bucket", slot.alias("slot")).agg(F.min("doc").alias("hub")).select("bucket", "hub")
+        sizes = members.select("bucket", F.col("doc").alias("hub"), F.col("n").alias("hub_n"), F.col("component").alias("hub_component"))
+        hubs = stored(hubs.join(sizes, ["bucket", "hub"]), "hubs")
+        join_links(members.join(hubs, "bucket").filter(
+            (F.col("doc") != F.col("hub")) & (F.col("component") != F.col("hub_component"))
+            & (100 * F.least("n", "hub_n") >= PERCENT * F.greatest("n", "hub_n"))).select("hub", "doc").distinct())
         rest = (members.select("bucket", "doc", "n").join(hubs.select("bucket", F.col("hub").alias("doc")), ["bucket", "doc"], "left_anti")
                 .join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc")))
         rest = stored(rest, "rest")
         mixed = rest.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("bucket")
-        members, hubs_each = stored(rest.join(mixed, "bucket"), "buckets"), 2 * hubs_each
+        members = stored(rest.join(mixed, "bucket"), "buckets")
+    if not members.isEmpty():
+        join_links(_rest_pairs(stored(members.select("doc", "component").distinct(), "rest"), sets))
     reps = classes.select("k1", "k2", "rep")
     if found is not None:
         reps = reps.join(found, reps["rep"] == found["node"], "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
