@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from llm.registry import Memo, query, table, text_or_empty
 
-PER_LABEL = 4000
-TRAIN_BYTES = 20_000
+PER_LABEL = 2000
+TRAIN_BYTES = 10_000
 BUCKETS = 1 << 17
 DIMENSIONS = 8
 WINDOW = 5
@@ -37,6 +37,8 @@ RATE = 0.6
 MIN_TEXTS = 4
 THRESHOLD = 0.7
 MEMO_WORDS = 300_000
+#: Signs that stand for letters inside words.
+LOOKALIKES = str.maketrans("013457@$!", "oieastasi")
 
 
 class Model(NamedTuple):
@@ -52,7 +54,7 @@ class Model(NamedTuple):
 def buckets(word: str) -> list[int]:
     """Buckets of a word's n-grams; case and marks at its ends are left out."""
     bare = word.lower().strip('.,;:!?"\'()[]{}<>*#&%$|-_/~`')
-    marked = f"<{bare or word}>"
+    marked = f"<{(bare or word).translate(LOOKALIKES)}>"
     return [zlib.crc32(marked[i:i + n].encode()) % BUCKETS for n in GRAMS for i in range(max(1, len(marked) - n + 1))]
 
 
@@ -61,7 +63,8 @@ def train(texts: list[str], toxic: list[int], seed: int = 7) -> Model:
 
     The largest step of each parameter has a fixed length and all others keep their proportion to
     it, so n-grams that many toxic texts share are learned and those of single texts hardly are.
-    Buckets met in fewer than ``MIN_TEXTS`` texts stay out.
+    Buckets met in fewer than ``MIN_TEXTS`` texts stay out. Each round leaves out half of the n-grams
+    at random, so that none of a word's is needed to know it.
     """
     rng = np.random.default_rng(seed)
     known: dict[str, int] = {}
@@ -78,9 +81,9 @@ def train(texts: list[str], toxic: list[int], seed: int = 7) -> Model:
     first_passage = np.flatnonzero(np.diff(text_of_word[begins], prepend=-1))
     passages = np.diff(np.append(first_passage, len(begins)))
     # the n-grams of the distinct words, without those of few texts
-    grams = [buckets(w) for w in known]
+    grams = [np.array(buckets(w), np.int32) for w in known]
     sizes = np.array([len(g) for g in grams])
-    flat, word_of = np.concatenate([np.array(g, np.int32) for g in grams]), np.repeat(np.arange(len(grams)), sizes)
+    flat, word_of = np.concatenate(grams), np.repeat(np.arange(len(grams), dtype=np.int32), sizes)
     pairs = np.unique(text_of_word.astype(np.int64) * len(grams) + words)
     texts_with = np.bincount(pairs % len(grams), minlength=len(grams))  # of each word; at least as many of its n-grams
     common = np.bincount(flat, texts_with[word_of], BUCKETS) >= MIN_TEXTS
@@ -93,7 +96,9 @@ def train(texts: list[str], toxic: list[int], seed: int = 7) -> Model:
     for step in range(ROUNDS):
         sharp = min(20.0, 1.07 ** step)
         direction = layer[:, 1] - layer[:, 0]
-        of_word = np.bincount(word_of, (vectors @ direction)[flat], len(grams)) / sizes
+        kept = np.flatnonzero(rng.random(len(flat)) < 0.5)
+        some, of_some = flat[kept], word_of[kept]
+        of_word = 2 * np.bincount(of_some, (vectors @ direction)[some], len(grams)) / sizes
         margin = np.add.reduceat(of_word[words], begins) / counts + bias[1] - bias[0]
         top = np.maximum.reduceat(margin, first_passage)
         grown = np.exp(sharp * (margin - np.repeat(top, passages)))
@@ -102,7 +107,7 @@ def train(texts: list[str], toxic: list[int], seed: int = 7) -> Model:
         slope = weight * (chance - label)
         by_passage = np.repeat(slope / total, passages) * grown
         by_word = np.bincount(words, np.repeat(by_passage / counts, counts), len(grams)) / sizes
-        by_gram = np.bincount(flat, by_word[word_of], BUCKETS)
+        by_gram = np.bincount(some, by_word[of_some], BUCKETS)
         pull = by_gram @ vectors
         grads = [(by_gram[:, None] * direction).astype(np.float32), np.stack([-pull, pull], axis=1), np.array([-slope.sum(), slope.sum()])]
         for p, g, s, most in zip((vectors, layer, bias), grads, speed, (RATE, 0.05, 0.1)):
