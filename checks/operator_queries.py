@@ -235,7 +235,7 @@ def j_salted(spark, sf):
     """Every supplier key is treated as hot here, so the salting path itself is compared."""
     left = fx.table(spark, sf, "lineitem").select("l_suppkey", "l_linenumber", "l_orderkey")
     right = fx.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
-    return salted_inner_join(left, right, ["l_suppkey"], F.col("l_orderkey"), salts=4, hot_rows=0)
+    return salted_inner_join(left, right, ["l_suppkey"], F.col("l_orderkey"), hot_rows=100)
 
 
 # --- A: aggregates ------------------------------------------------------------------------

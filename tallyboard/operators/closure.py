@@ -5,26 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import cut_lineage
+from ..sources.scratch import cut_and_count, cut_lineage
 
 
-def ancestors(seeds: DataFrame, edges: DataFrame, max_depth: int = 64) -> DataFrame:
+def ancestors(seeds: DataFrame, edges: DataFrame, max_depth: int | None = None) -> DataFrame:
     """All (seed, ancestor) pairs, the seed itself included.
 
     ``seeds``: column ``node``; ``edges``: columns ``node``, ``parent`` (any type that
     can be compared, a struct for compound ids). Each round joins only the pairs found
-    in the last round, drops pairs seen before (so cycles end) and cuts the lineage on
-    durable storage, so a lost executor does not replay the loop.
+    in the last round, drops pairs seen before (so cycles end, and so does the loop) and is
+    written once to durable storage, so a lost executor does not replay the loop.
+    ``max_depth`` makes a longer chain an error.
     """
     frontier = cut_lineage(seeds.select(F.col("node").alias("seed"), F.col("node").alias("anc"))
                            .distinct())
     found = frontier
     edges = cut_lineage(edges.select("node", "parent").distinct())  # scanned once, not per round
-    for _ in range(max_depth):
+    depth = 0
+    while max_depth is None or depth < max_depth:
         step = (frontier.join(edges, F.col("anc") == F.col("node"))
                 .select("seed", F.col("parent").alias("anc")).distinct())
-        frontier = cut_lineage(step.join(found, ["seed", "anc"], "left_anti"))
-        if frontier.isEmpty():
+        frontier, rows = cut_and_count(step.join(found, ["seed", "anc"], "left_anti"))
+        if not rows:
             return found
-        found = found.unionByName(frontier)
+        found, depth = found.unionByName(frontier), depth + 1
     raise ValueError(f"graph is deeper than max_depth={max_depth}")

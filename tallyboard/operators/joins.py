@@ -11,25 +11,21 @@ from .aggregates import sums as sums_of
 
 
 def salted_inner_join(left: DataFrame, right: DataFrame, keys: Sequence[str], spread_by: Column,
-                      salts: int = 32, hot_keys: int = 100, hot_rows: int = 100_000) -> DataFrame:
-    """Inner join that splits the hottest left keys over ``salts`` tasks.
+                      hot_rows: int = 100_000) -> DataFrame:
+    """Inner join that splits every left key of more than ``hot_rows`` rows.
 
-    The hot list is the ``hot_keys`` most frequent left keys with more than ``hot_rows``
-    rows: at most ``hot_keys`` rows by construction, which is what makes broadcasting it
-    safe. Left rows of hot keys get a salt from ``spread_by``, right rows of hot keys are
-    repeated once per salt, all other rows keep salt 0. No row is lost or added.
+    Each such key gets as many salts as tasks its rows need. Its left rows take one of them
+    by ``spread_by``, its right rows are repeated once per salt; all other rows keep salt 0.
+    The list of such keys has at most one row per ``hot_rows`` left rows. No row is lost
+    or added, and NULL keys meet nothing, as in any inner join.
     """
+    salts = F.ceil(F.col("_rows") / hot_rows).cast("int")
     hot = (left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-           .filter(F.col("_rows") > hot_rows)
-           .orderBy(F.desc("_rows")).limit(hot_keys)
-           .select(*keys, F.lit(True).alias("_hot")))
-    hot = F.broadcast(hot)
-
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(0)
-    spread = left.join(hot, list(keys), "left").withColumn("_salt", salt.cast("int")).drop("_hot")
-    repeats = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    copied = right.join(hot, list(keys), "left").withColumn("_salt", F.explode(repeats)).drop("_hot")
-    return spread.join(copied, [*keys, "_salt"], "inner").drop("_salt")
+           .filter(F.col("_rows") > hot_rows).select(*keys, salts.alias("_salts")))
+    one = F.coalesce(F.col("_salts"), F.lit(1))
+    spread = left.join(hot, list(keys), "left").withColumn("_salt", F.pmod(F.xxhash64(spread_by), one).cast("int"))
+    copied = right.join(hot, list(keys), "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), one - 1)))
+    return spread.drop("_salts").join(copied.drop("_salts"), [*keys, "_salt"], "inner").drop("_salt")
 
 
 def full_merge_sum(frames: Sequence[DataFrame], keys: Sequence[str],

@@ -27,7 +27,7 @@ def org_edges(edges: DataFrame, include_links: bool = True) -> DataFrame:
                        _node("parent_type", "parent_id").alias("parent"))
 
 
-def user_departments(edges: DataFrame, include_links: bool = True, max_depth: int = 64) -> DataFrame:
+def user_departments(edges: DataFrame, include_links: bool = True, max_depth: int | None = None) -> DataFrame:
     """``user_dep``: every user with every department or enterprise above it, once.
 
     The closure runs over the departments users hang on, a graph far smaller than the
