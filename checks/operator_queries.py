@@ -232,7 +232,7 @@ def j15(spark, sf):
 
 @query("J_salted_hot_key", "SELECT l_suppkey, l_linenumber, s_name, l_orderkey FROM lineitem JOIN supplier ON s_suppkey = l_suppkey")
 def j_salted(spark, sf):
-    """Every supplier key is treated as hot here, so the salting path itself is compared."""
+    """Every supplier key is of more than 100 rows is split here, so the salting path itself is compared."""
     left = fx.table(spark, sf, "lineitem").select("l_suppkey", "l_linenumber", "l_orderkey")
     right = fx.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
     return salted_inner_join(left, right, ["l_suppkey"], F.col("l_orderkey"), hot_rows=100)

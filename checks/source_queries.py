@@ -87,6 +87,18 @@ def s8(spark, sf):
     return readers.read_tsv(spark, path, schemas.FILE_SOURCE).drop("deleted_at")
 
 
+@query("S8_escaped_tsv", """SELECT event_id, CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 7 = 1 THEN '' ELSE
+    'q" ' || chr(92) || 'N ' || chr(92) || chr(9) || event_type || chr(10) || chr(92) || 'n' || chr(13) || chr(92) END AS note, ts FROM events""")
+def s8_escaped(spark, sf):
+    """Quotes, backslashes, tabs, line ends, empty and NULL fields through the escaped dialect."""
+    path = scratch_path(spark, "escaped-tsv")
+    note = F.concat(F.lit('q" \\N \\\t'), F.col("event_type"), F.lit("\n\\n\r\\"))
+    e = F.col("event_id")
+    df = fx.table(spark, sf, "events").select("event_id", F.when(e % 7 == 1, "").when(e % 7 > 1, note).alias("note"), "ts")
+    sinks.write_escaped_tsv(df, path)
+    return readers.read_escaped_tsv(spark, path, "event_id long, note string, ts timestamp_ntz")
+
+
 @query("S9_csv_export", with_model(counts_sql(FILE_COUNTS, "file_type <> 0 AND team_id IS NOT NULL", "team", 1)))
 def s9(spark, sf):
     path = scratch_path(spark, "report-csv")
@@ -168,6 +180,18 @@ def k1(spark, sf):
         "ldate", *EVENT_COLS.split(", "))
 
 
+@query("K1_rejects", """SELECT CASE WHEN event_id % 5 IN (0, 1, 2) THEN 'event' WHEN event_id % 5 = 3 THEN 'not an object' ELSE 'no event time' END AS kind,
+    count(*) AS messages FROM events GROUP BY 1""")
+def k1_rejects(spark, sf):
+    """Every message is an event or a reject with its reason."""
+    e = F.col("event_id")
+    good = F.to_json(F.struct(F.col("event_type"), (e * 1000).alias("time")))
+    messages = fx.table(spark, sf, "events").select(
+        F.when(e % 5 == 3, "not json").when(e % 5 == 4, '{"guid":"g"}').otherwise(good).alias("value"), e.alias("offset"))
+    events = readers.decode_events(readers.accepted(messages)).select(F.lit("event").alias("kind"))
+    return events.unionByName(readers.rejects(messages).select(F.col("reason").alias("kind"))).groupBy("kind").agg(F.count(F.lit(1)).alias("messages"))
+
+
 def change_messages(rows):
     """Inserts for all events, then an update of each third user and a delete of each fifth."""
     u, e = F.col("user_id"), F.col("event_id")

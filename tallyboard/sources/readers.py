@@ -58,6 +58,25 @@ def read_tsv(spark: SparkSession, path: str, schema: str, *, header: bool = Fals
     return read_csv(spark, path, schema, header=header, sep="\t")
 
 
+def read_escaped_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    r"""Tab-separated text as column stores export it: ``\N`` is NULL, tab, newline, carriage return and
+    backslash are escaped by a backslash, nothing is quoted. A field that does not fit its type, or a line
+    with another number of fields, is an error."""
+    fields = T.StructType.fromDDL(schema).fields
+    parts = F.split("value", "\t", -1)
+
+    def text(i: int) -> Column:
+        raw = F.get(parts, i)
+        out = F.replace(raw, F.lit("\\\\"), F.lit("\0"))
+        for mark, char in (("\\t", "\t"), ("\\n", "\n"), ("\\r", "\r")):
+            out = F.replace(out, F.lit(mark), F.lit(char))
+        return F.when(raw != "\\N", F.replace(out, F.lit("\0"), F.lit("\\")))
+
+    whole = F.when(F.size(parts) == len(fields), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("bad line: "), F.col("value"))))
+    lines = spark.read.option("lineSep", "\n").text(path).filter(whole)
+    return lines.select(*[text(i).cast(f.dataType).alias(f.name) for i, f in enumerate(fields)])
+
+
 # --- event payloads -----------------------------------------------------------
 def decode_json(payload: Column, schema: str = schemas.EVENT_FIELDS) -> Column:
     """One JSON object per message; fields that do not parse become NULL."""
@@ -84,10 +103,43 @@ def decode_events(messages: DataFrame, avro_schema: str | None = None) -> DataFr
     return messages.select(record.alias("e")).select(*[F.col(f"e.{n}").alias(n) for n in names])
 
 
-def kafka_options(brokers: str, topics: str, group: str, *, starting: str = "earliest",
-                  max_offsets: int | None = None) -> dict[str, str]:
-    options = {"kafka.bootstrap.servers": brokers, "subscribe": topics,
-               "kafka.group.id": group, "startingOffsets": starting, "failOnDataLoss": "false"}
+def rejects(messages: DataFrame, schema_id: int | None = None) -> DataFrame:
+    """Messages that ``decode_events`` can make no event of, with why; raw value and origin are kept.
+
+    A message must decode to a JSON object with an event time. With ``schema_id`` messages are Avro
+    records, and those whose registry header is missing or names another schema are rejected.
+    """
+    value = F.col("value")
+    if schema_id is None:
+        record = decode_json(value)
+        reason = (F.when(value.isNull(), "empty").when(record.isNull() | ~F.coalesce(F.startswith(F.ltrim(value.cast("string")), F.lit("{")), F.lit(False)), "not an object")
+                  .when(record["time"].isNull(), "no event time"))
+    else:
+        header = F.substring(value, 1, 5)
+        wanted = F.unhex(F.lit("00" + schema_id.to_bytes(4, "big").hex()))
+        reason = F.when(value.isNull(), "empty").when(header != wanted, "another schema")
+    origin = [c for c in ("topic", "partition", "offset", "timestamp") if c in messages.columns]
+    return messages.select(value, *origin, reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
+def accepted(messages: DataFrame, schema_id: int | None = None) -> DataFrame:
+    """The messages that ``rejects`` leaves: every message is in exactly one of the two."""
+    value = F.col("value")
+    if schema_id is None:
+        starts = F.coalesce(F.startswith(F.ltrim(value.cast("string")), F.lit("{")), F.lit(False))
+        return messages.filter(starts & decode_json(value)["time"].isNotNull())
+    wanted = F.unhex(F.lit("00" + schema_id.to_bytes(4, "big").hex()))
+    return messages.filter(F.coalesce(F.substring(value, 1, 5) == wanted, F.lit(False)))
+
+
+def kafka_options(brokers: str, topics: str, group: str | None = None, *, starting: str = "earliest",
+                  max_offsets: int | None = None, fail_on_data_loss: bool = True) -> dict[str, str]:
+    """Options of a Kafka stream. Offsets that are gone stop it unless the caller accepts the loss; without
+    ``group`` each query gets a consumer group of its own."""
+    options = {"kafka.bootstrap.servers": brokers, "subscribe": topics, "startingOffsets": starting,
+               "failOnDataLoss": str(fail_on_data_loss).lower()}
+    if group is not None:
+        options["kafka.group.id"] = group
     if max_offsets is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
     return options

@@ -14,7 +14,14 @@ JDBC_BATCH = 1000
 
 def write_events(events: DataFrame, path: str, mode: str = "append") -> None:
     """Event table partitioned by day. The rebalance lets AQE split large days over many
-    tasks and gather small ones, so file sizes follow the data."""
+    tasks and gather small ones, so file sizes follow the data.
+
+    A folder that a stream writes is refused: readers take only the files its log names, so rows
+    appended beside it would be invisible.
+    """
+    folder = events.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_spark_metadata")
+    if folder.getFileSystem(events.sparkSession._jsc.hadoopConfiguration()).exists(folder):
+        raise ValueError(f"{path} belongs to a stream; write elsewhere and read both")
     events.hint("rebalance", "ldate").write.mode(mode).partitionBy("ldate").parquet(path)
 
 
@@ -27,6 +34,17 @@ def write_csv(df: DataFrame, path: str, *, header: bool = True, sep: str = ",")
      .option("quote", '"').option("escape", '"').csv(path))
 
 
+def write_escaped_tsv(df: DataFrame, path: str) -> None:
+    r"""Tab-separated text with ``\N`` for NULL and backslash escapes, one line per row whatever the fields hold."""
+    def text(c: str):
+        out = F.col(c).cast("string")
+        for char, mark in (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")):
+            out = F.replace(out, F.lit(char), F.lit(mark))
+        return F.coalesce(out, F.lit("\\N"))
+
+    df.select(F.array_join(F.array(*[text(c) for c in df.columns]), "\t").alias("value")).write.mode("overwrite").option("lineSep", "\n").text(path)
+
+
 def create_partitioned_table(spark: SparkSession, table: str, columns: str, location: str) -> None:
     """External Parquet table partitioned by the text column ``ldate``."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}, ldate STRING) "
@@ -61,8 +79,8 @@ def write_jdbc_day(df: DataFrame, url: str, table: str, date: DateLike,
                    properties: Mapping[str, str] | None = None, writers: int = 8) -> None:
     """Replace one date of a serving table: delete it, then insert in batches of 1000.
 
-    NULLs stay NULLs. At most ``writers`` connections write at a time. Needs the JDBC
-    driver of the target on the class path.
+    NULLs stay NULLs. At most ``writers`` connections write at a time; fewer partitions are
+    left as they are. Needs the JDBC driver of the target on the class path.
     """
     jvm = df.sparkSession._jvm
     props = {"batchsize": str(JDBC_BATCH), **(properties or {})}
@@ -71,5 +89,5 @@ def write_jdbc_day(df: DataFrame, url: str, table: str, date: DateLike,
         jprops.setProperty(k, v)
     jdbc_delete_day(jvm.java.sql.DriverManager.getConnection(url, jprops), table,
                     jvm.java.sql.Date.valueOf(as_date(date).isoformat()))
-    (df.filter(F.col("ldate") == F.lit(as_date(date))).repartition(writers)
-     .write.mode("append").jdbc(url, table, properties=props))
+    (df.filter(F.col("ldate") == F.lit(as_date(date))).write.mode("append")
+     .option("numPartitions", writers).jdbc(url, table, properties=props))

@@ -133,7 +133,7 @@ def test_jdbc_day_is_deleted_by_parameter():
 
 def test_kafka_options():
     o = readers.kafka_options("b:9092", "events", "g", max_offsets=10)
-    assert o["subscribe"] == "events" and o["kafka.group.id"] == "g" and o["maxOffsetsPerTrigger"] == "10"
+    assert o["subscribe"] == "events" and o["kafka.group.id"] == "g" and o["failOnDataLoss"] == "true" and o["maxOffsetsPerTrigger"] == "10"
 
 
 def test_json_payload_with_bad_message(spark):
@@ -160,3 +160,22 @@ def test_conform_refuses_missing_columns(spark):
 def test_scratch_is_the_shared_folder(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_other_schema_ids_are_rejected(spark):
+    df = spark.createDataFrame([(bytearray(b"\x00\x00\x00\x00\x07payload"), 1), (bytearray(b"\x00\x00\x00\x00\x08x"), 2), (bytearray(b"x"), 3), (None, 4)],
+                               "value binary, offset long")
+    assert as_set(readers.accepted(df, 7), "offset") == {(1,)}
+    assert as_set(readers.rejects(df, 7), "offset", "reason") == {(2, "another schema"), (3, "another schema"), (4, "empty")}
+
+
+def test_escaped_tsv_refuses_short_lines(spark, tmp_path):
+    (tmp_path / "x.tsv").write_text("1\ta\n2\n")
+    with pytest.raises(Exception, match="bad line"):
+        readers.read_escaped_tsv(spark, f"{tmp_path}/x.tsv", "i int, t string").collect()
+
+
+def test_a_streams_folder_is_refused(spark, tmp_path):
+    (tmp_path / "t" / "_spark_metadata").mkdir(parents=True)
+    with pytest.raises(ValueError, match="belongs to a stream"):
+        sinks.write_events(spark.range(1).selectExpr("current_date() AS ldate", "id"), f"{tmp_path}/t")
