@@ -4,9 +4,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 from checks.compare import connect, differences
-
-ORACLES = entry_point.oracle_sql()
-QUERIES = entry_point.queries()
+from checks.registry import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
