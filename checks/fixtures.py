@@ -21,6 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _guid(event_id):
+    """File of an event: ever more files as the table grows, each touched by ten events."""
+    return event_id % 300 + 300 * F.floor(event_id / 3000)
+
+
+def _creator(part_key):
+    return part_key % 15 + 15 * F.floor(part_key / 200)
+
+
 def shape_events(raw: DataFrame) -> DataFrame:
     """Also used on a streaming read of the same file."""
     k, e = F.get_json_object("props", "$.k").cast("int"), F.col("event_id")
@@ -36,7 +45,7 @@ def shape_events(raw: DataFrame) -> DataFrame:
               .when(t == "click", one_of("comment", "at", "public_share")).otherwise("unknown"))
     return raw.select(
         F.to_date(ts).alias("ldate"), t.alias("event_type"),
-        F.when(e % 97 == 0, F.lit(None)).otherwise((e % 300).cast("string")).alias("guid"),
+        F.when(e % 97 == 0, F.lit(None)).otherwise(_guid(e).cast("string")).alias("guid"),
         F.col("user_id").cast("string").alias("user_id"),
         F.concat(F.lit("d"), (e % 7).cast("string")).alias("device_id"),
         kind.alias("file_type"),
@@ -66,14 +75,14 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def membership(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("n_nationkey").cast("bigint")
-    return table(spark, sf_dir, "nation").filter("n_nationkey < 10").select(
+    return table(spark, sf_dir, "nation").select(
         n.alias("target_id"), (1 + n % 4).cast("int").alias("category"),
         (5 * (n + 1)).alias("member_count"), F.lit(None).cast("timestamp_ntz").alias("deleted_at"))
 
 
 def departments(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("n_nationkey").cast("bigint")
-    return table(spark, sf_dir, "nation").filter("n_nationkey < 20").select(
+    return table(spark, sf_dir, "nation").select(
         (100 + n).alias("id"), F.col("n_name").alias("name"), (n % 10).alias("team_id"))
 
 
@@ -89,10 +98,10 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(False).alias("is_link"), removed.alias("is_removed"))
 
     removed = c % 13 == 0
-    direct = edge(customers, 11, c, F.lit(10), 100 + c % 20, removed)
-    second = edge(customers.filter("c_custkey % 5 = 0"), 11, c, F.lit(10), 100 + (c + 7) % 20, removed)
+    direct = edge(customers, 11, c, F.lit(10), 100 + c % 25, removed)
+    second = edge(customers.filter("c_custkey % 5 = 0"), 11, c, F.lit(10), 100 + (c + 7) % 25, removed)
     n = F.col("n_nationkey").cast("bigint")
-    nations = table(spark, sf_dir, "nation").filter("n_nationkey < 20")
+    nations = table(spark, sf_dir, "nation")
     deps = edge(nations, 10, 100 + n, F.when(n < 4, 9).otherwise(10),
                 F.when(n < 4, 900 + n % 2).otherwise(100 + F.floor(n / 4)), F.lit(False))
     return direct.unionByName(second).unionByName(deps)
@@ -104,7 +113,7 @@ def file_source(spark: SparkSession, sf_dir: str, every: int) -> DataFrame:
     return table(spark, sf_dir, "part").filter(k % every == 0).select(
         k.cast("string").alias("guid"), F.when(k % 50 != 48, F.col("p_name")).alias("name"),
         (2 + F.floor((k % 4) / 2)).cast("int").alias("type"), (-(k % 11)).cast("int").alias("sub_type"),
-        (1704067200 + k * 600).alias("created_at"), (k % 15).cast("string").alias("created_by"),
+        (1704067200 + k * 600).alias("created_at"), _creator(k).cast("string").alias("created_by"),
         F.lit(None).cast("timestamp_ntz").alias("deleted_at"))
 
 
@@ -158,10 +167,10 @@ def client_log(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     def pick(values, index):
         return F.element_at(F.array(*[F.lit(v) for v in values]), (index % len(values) + 1).cast("int"))
 
-    guid = F.lpad((e % 300).cast("string"), 16, "0")
+    guid = F.lpad(_guid(e).cast("string"), 16, "0")
     return table(spark, sf_dir, "events").select(
         F.to_date("ts").alias("ldate"), F.col("user_id").cast("string").alias("client_user_id"),
-        F.when(e % 5 == 0, (e % 300).cast("string")).otherwise(guid).alias("guid"),
+        F.when(e % 5 == 0, _guid(e).cast("string")).otherwise(guid).alias("guid"),
         pick(kinds, F.floor(e / 2)).alias("event_type"),
         F.when(e % 3 == 0, "MobileShell/1.0").otherwise("Browser/1.0").alias("user_agent"),
         F.concat(F.lit("/"), pick(pages, F.floor(e / 8)), F.lit("/"), guid).alias("s_url_path"))
@@ -172,7 +181,7 @@ def old_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     cut = F.lit(dt.date.fromisoformat(CUTOFF))
     k, o, c = F.col("p_partkey"), F.col("o_orderkey"), F.col("o_custkey")
     new = table(spark, sf_dir, "part").select(
-        (k % 15).alias("created_by"), (1 + k % 3).cast("int").alias("type"),
+        _creator(k).alias("created_by"), (1 + k % 3).cast("int").alias("type"),
         (-(k % 11)).cast("int").alias("sub_type"), F.floor(k / 2).cast("string").alias("guid"),
         cut.alias("ldate"))
     legacy = table(spark, sf_dir, "orders").select(

@@ -13,7 +13,7 @@ _CTES: dict[str, str] = {
         SELECT event_id AS e, CAST(props->>'$.k' AS INTEGER) AS k, ts, user_id, event_type FROM events""",
     "ev": """
         SELECT CAST(ts AS DATE) AS ldate, event_type,
-               CASE WHEN e % 97 = 0 THEN NULL ELSE CAST(e % 300 AS VARCHAR) END AS guid,
+               CASE WHEN e % 97 = 0 THEN NULL ELSE CAST(e % 300 + 300 * (e // 3000) AS VARCHAR) END AS guid,
                CAST(user_id AS VARCHAR) AS user_id, 'd' || (e % 7) AS device_id,
                CAST(CASE WHEN event_type = 'error' THEN 0 ELSE 1 + (e + k) % 3 END AS INTEGER) AS file_type,
                CAST(CASE WHEN event_type = 'error' THEN 0
@@ -40,19 +40,19 @@ _CTES: dict[str, str] = {
         FROM customer""",
     "mem": """
         SELECT CAST(n_nationkey AS BIGINT) AS target_id, 1 + n_nationkey % 4 AS category,
-               CAST(5 * (n_nationkey + 1) AS BIGINT) AS member_count FROM nation WHERE n_nationkey < 10""",
+               CAST(5 * (n_nationkey + 1) AS BIGINT) AS member_count FROM nation""",
     "dep": """
         SELECT CAST(100 + n_nationkey AS BIGINT) AS id, n_name AS name,
-               CAST(n_nationkey % 10 AS BIGINT) AS team_id FROM nation WHERE n_nationkey < 20""",
+               CAST(n_nationkey % 10 AS BIGINT) AS team_id FROM nation""",
     "edg": """
-        SELECT 11 AS node_type, c_custkey AS node_id, 10 AS parent_type, 100 + c_custkey % 20 AS parent_id,
+        SELECT 11 AS node_type, c_custkey AS node_id, 10 AS parent_type, 100 + c_custkey % 25 AS parent_id,
                c_custkey % 13 = 0 AS is_removed FROM customer
         UNION ALL
-        SELECT 11, c_custkey, 10, 100 + (c_custkey + 7) % 20, c_custkey % 13 = 0 FROM customer WHERE c_custkey % 5 = 0
+        SELECT 11, c_custkey, 10, 100 + (c_custkey + 7) % 25, c_custkey % 13 = 0 FROM customer WHERE c_custkey % 5 = 0
         UNION ALL
         SELECT 10, 100 + n_nationkey, CASE WHEN n_nationkey < 4 THEN 9 ELSE 10 END,
                CASE WHEN n_nationkey < 4 THEN 900 + n_nationkey % 2 ELSE 100 + n_nationkey // 4 END, false
-        FROM nation WHERE n_nationkey < 20""",
+        FROM nation""",
     "walk(u, pt, pid)": """
         SELECT node_id, parent_type, parent_id FROM edg WHERE node_type = 11 AND NOT is_removed
         UNION
@@ -65,7 +65,7 @@ _CTES: dict[str, str] = {
                CASE WHEN p_partkey % 50 = 48 THEN NULL ELSE p_name END AS name,
                CAST(2 + (p_partkey % 4) // 2 AS INTEGER) AS type, CAST(-(p_partkey % 11) AS INTEGER) AS sub_type,
                CAST(1704067200 + p_partkey * 600 AS BIGINT) AS created_at,
-               CAST(p_partkey % 15 AS VARCHAR) AS created_by FROM part""",
+               CAST(p_partkey % 15 + 15 * (p_partkey // 200) AS VARCHAR) AS created_by FROM part""",
     "fil": "SELECT * EXCLUDE (k) FROM parts WHERE k % 2 = 0",
     "leg": "SELECT * EXCLUDE (k) FROM parts WHERE k % 3 = 0",
     "fdim": """
@@ -88,17 +88,17 @@ _CTES: dict[str, str] = {
                CAST(ts AS DATE) AS ldate FROM events""",
     "logs": """
         SELECT CAST(ts AS DATE) AS ldate, CAST(user_id AS VARCHAR) AS client_user_id,
-               CASE WHEN event_id % 5 = 0 THEN CAST(event_id % 300 AS VARCHAR)
-                    ELSE lpad(CAST(event_id % 300 AS VARCHAR), 16, '0') END AS guid,
+               CASE WHEN event_id % 5 = 0 THEN CAST(event_id % 300 + 300 * (event_id // 3000) AS VARCHAR)
+                    ELSE lpad(CAST(event_id % 300 + 300 * (event_id // 3000) AS VARCHAR), 16, '0') END AS guid,
                CASE WHEN event_id % 3 = 0 THEN 'MobileShell/1.0' ELSE 'Browser/1.0' END AS user_agent,
                (['$pageview','app_webview','click','$pageview'])[1 + (event_id // 2) % 4] AS web_type,
                (['wx_openfile','wx_share','wx_openfile','wx_login'])[1 + (event_id // 2) % 4] AS wx_type,
                (['appView','app_webview','appStart','appView'])[1 + (event_id // 2) % 4] AS app_type,
                '/' || (['docs','sheets','folder','home','space','login','slides','forms'])[1 + (event_id // 8) % 8]
-                   || '/' || lpad(CAST(event_id % 300 AS VARCHAR), 16, '0') AS s_url_path
+                   || '/' || lpad(CAST(event_id % 300 + 300 * (event_id // 3000) AS VARCHAR), 16, '0') AS s_url_path
         FROM events""",
     "svc_files": f"""
-        SELECT p_partkey % 15 AS created_by, CAST(1 + p_partkey % 3 AS INTEGER) AS type,
+        SELECT p_partkey % 15 + 15 * (p_partkey // 200) AS created_by, CAST(1 + p_partkey % 3 AS INTEGER) AS type,
                CAST(-(p_partkey % 11) AS INTEGER) AS sub_type, CAST(p_partkey // 2 AS VARCHAR) AS guid, {CUT} AS ldate
         FROM part""",
     "old_files": f"""
