@@ -28,21 +28,33 @@ def enumerate_rows(df: DataFrame, group: Sequence[str], coarse: Sequence[tuple[s
     (group, coarse) block is numbered on its own and shifted by the rows in the blocks
     before it, so no task ever sorts a whole group.
     """
-    blocks = [c for c, _ in coarse]
-    keys = [*group, *blocks]
-    before = (Window.partitionBy(*group)
-              .orderBy(*[F.asc(c) if up else F.desc(c) for c, up in coarse])
-              .rowsBetween(Window.unboundedPreceding, -1))
-    shift = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-             .withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-             .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_shift"))
-    local = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    same_block = F.lit(True)
-    for i, k in enumerate(keys):
-        same_block = same_block & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    return (df.withColumn("_local", local).join(shift, same_block)
+    keys = [*group, *[c for c, _ in coarse]]
+    # NULL keys become a flag and a value, so that windows and the join share one partitioning
+    kinds = dict(df.dtypes)
+    keyed = df.withColumns({f"_k{i}": _no_null(k, kinds[k]) for i, k in enumerate(keys)}
+                           | {f"_n{i}": F.col(k).isNull() for i, k in enumerate(keys)})
+    of_group = [f"_{x}{i}" for i in range(len(group)) for x in "kn"]
+    of_block = [f"_{x}{i}" for i in range(len(keys)) for x in "kn"]
+    by_block = []
+    for i, (_, up) in enumerate(coarse, len(group)):
+        by_block += [F.desc(f"_n{i}"), F.asc(f"_k{i}")] if up else [F.asc(f"_n{i}"), F.desc(f"_k{i}")]
+    before = Window.partitionBy(*of_group).orderBy(*by_block).rowsBetween(Window.unboundedPreceding, -1)
+    shift = (keyed.groupBy(*of_block).agg(F.count(F.lit(1)).alias("_n"))
+             .withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"))
+    local = F.row_number().over(Window.partitionBy(*of_block).orderBy(*order))
+    return (keyed.withColumn("_local", local).join(shift, of_block)
             .withColumn(pos_col, (F.col("_shift") + F.col("_local")).cast("bigint"))
-            .drop("_local", "_shift", *[f"_k{i}" for i in range(len(keys))]))
+            .select(*[c for c in df.columns if c != pos_col], pos_col))
+
+
+def _no_null(name: str, kind: str) -> Column:
+    """The column with a value of its type in place of NULL."""
+    column = F.col(name)
+    if kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal"):
+        return F.coalesce(column, F.lit(0).cast(kind))
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        return F.coalesce(column, F.lit("1970-01-01").cast(kind))
+    return F.coalesce(column.cast("string"), F.lit(""))
 
 
 _BLOCK = 1 << 17  # positions per block when a group is cut by position
