@@ -11,6 +11,7 @@ from tallyboard.functions.scalars import local_to_epoch_millis
 from tallyboard.plans.files import merge_files
 from tallyboard.plans.model import Workspace
 from tallyboard.plans.org import user_departments
+from tallyboard.sources.scratch import scratch_path
 
 DATE = "2024-01-15"
 FIRST_DATE = "2024-01-01"
@@ -122,7 +123,16 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_dep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return user_departments(edges(spark, sf_dir))
+    """The bridge as jobs read it: built and stored once per session and data folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BRIDGES:
+        path = scratch_path(spark, "user-dep")
+        user_departments(edges(spark, sf_dir)).write.parquet(path)
+        _BRIDGES[key] = path
+    return spark.read.schema("user_id string, department_id string").parquet(_BRIDGES[key])
+
+
+_BRIDGES: dict[tuple[str, str], str] = {}
 
 
 def workspace(spark: SparkSession, sf_dir: str, *parts: str) -> Workspace:

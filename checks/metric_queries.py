@@ -29,7 +29,7 @@ def d1(spark, sf):
 
 @query("D2_user_dep", with_model("SELECT user_id, department_id FROM ud"))
 def d2(spark, sf):
-    return fx.user_dep(spark, sf)
+    return org.user_departments(fx.edges(spark, sf))
 
 
 @query("D3_files", with_model("SELECT * FROM fdim"))
