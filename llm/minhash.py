@@ -165,6 +165,7 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
     rows = classes.select(F.explode("bands").alias("bucket"), F.col("rep").alias("doc"), "n")
     shared = rows.groupBy("bucket").agg(F.min("doc").alias("x"), F.max("doc").alias("y")).filter("x < y").select("bucket")
+    shared = stored(shared, "shared")  # so that the join below is between two plain exchanges, which can be split
     members = stored(rows.join(shared, "bucket").withColumn("component", F.col("doc")), "buckets")
     sets = stored(_sets(docs, stored(members.select(F.col("doc").alias("doc_id")).distinct(), "ids"), size).distinct(), "sets")
     links = found = None
@@ -190,7 +191,7 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
                 .join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc")))
         rest = stored(rest, "rest")
         mixed = rest.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("bucket")
-        members = stored(rest.join(mixed, "bucket"), "buckets")
+        members = stored(rest.join(stored(mixed, "mixed"), "bucket"), "buckets")
     if not members.isEmpty():
         join_links(_rest_pairs(stored(members.select("doc", "component").distinct(), "rest"), sets))
     reps = classes.select("k1", "k2", "rep")
