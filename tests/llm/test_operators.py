@@ -254,6 +254,22 @@ def test_substring_passages(spark):
     assert substring.shared_passages(docs_of(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("size,between", [(60, 50), (60, 100), (100, 50), (100, 100), (100, 300)])
+def test_substring_splits_chains(spark, size, between):
+    a, b = words(31, size, 90_000), words(32, size, 90_000)
+    rows = [(k, " ".join(words(40 + k, 30, 90_000) + a + words(50 + k, between, 90_000) + b + words(60 + k, 30, 90_000))) for k in (0, 1)]
+    got = sorted((r["start"], r["end"], r["source_start"], r["agreed"]) for r in rows_of(substring.shared_passages(docs_of(spark, rows))))
+    second = 30 + size + between
+    assert got == [(30, 30 + size, 30, size), (second, second + size, second, size)]
+
+
+def test_substring_splits_at_an_insertion(spark):
+    a = words(33, 200, 90_000)
+    rows = [(0, " ".join(a)), (1, " ".join(a[:90] + words(34, 80, 90_000) + a[90:]))]
+    got = sorted((r["start"], r["end"], r["source_start"], r["source_end"]) for r in rows_of(substring.shared_passages(docs_of(spark, rows))))
+    assert got == [(0, 90, 0, 90), (170, 280, 90, 200)]
+
+
 def test_chain_prefers_order_and_pays_gaps():
     p, c = np.array([0, 10, 20, 30, 40, 300]), np.array([100, 110, 500, 130, 140, 400])
     best = substring.chain(p, c)
