@@ -24,10 +24,11 @@ MIN_ROWS = 50
 NEAREST = 0.75
 #: Consistency of the covariance of the nearest three quarters in four dimensions.
 CONSISTENCY = 1.49
-#: Least standard deviations of the transformed statistics.
-LEAST_SD = (0.08, 0.15, 0.15, 0.5)
-#: Squared Mahalanobis distance above which a text is rejected; 5e-12 of a normal distribution.
-CUTOFF = 60.0
+#: Least standard deviations of the transformed statistics. After the base rules z2 is at most 0.707 and z3 about 3,
+#: so that each statistic can pass the cutoff by itself: repeated words from 12 % on where a group has none.
+LEAST_SD = (0.1, 0.2, 0.06, 0.12)
+#: Squared Mahalanobis distance above which a text is rejected: the chi-square quantile of 1 - 1e-6 in four dimensions.
+CUTOFF = 33.377
 STEPS = 3
 Z = [f"z{i}" for i in range(len(LEAST_SD))]
 

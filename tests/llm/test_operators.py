@@ -212,6 +212,17 @@ def test_quality(spark):
     assert got[None]["kept"] and quality.judge(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_quality_rejects_repetition_below_the_base_limit(spark):
+    rows = [(i, " ".join(words(i, 60 + i % 50, 5000)), "en", "a", None) for i in range(200)]
+    for k in range(5):
+        lines = [" ".join(words(300 + 20 * k + j, 5, 5000)) for j in range(20)]
+        rows.append((1000 + k, "\n".join(lines[:3] * 2 + lines[3:17]), "en", "a", None))  # 30 of 100 words in repeated lines
+        rows.append((1100 + k, " ".join(words(500 + k, 70, 5000) + 10 * words(600 + k, 4, 5000)), "en", "a", None))
+    got = {r["doc_id"]: r for r in rows_of(quality.judge(spark.createDataFrame(rows, DOCS)))}
+    assert all(got[i]["kept"] for i in range(200))
+    assert not any(r["base_failed"] or r["kept"] for i, r in got.items() if i >= 1000)
+
+
 def test_toxicity_learns_prefixes_and_spellings(spark):
     rng = random.Random(6)
     rows, labels = [], []
