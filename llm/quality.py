@@ -1,11 +1,12 @@
 r"""Quality rules: base statistics of whole texts and robust multivariate outliers.
 
 The statistics of texts that pass the base rules are transformed, and for each language and source
-a minimum-covariance-determinant estimate of their centre and scatter is made: from medians and
-median deviations concentration steps go on, each of which estimates mean and covariance from the
-three quarters of the rows that lie nearest by Mahalanobis distance. Small groups are pooled by
-language, and small languages together; with fewer than ``MIN_ROWS`` rows there is no estimate and
-nothing is rejected. Every covariance gets fixed variances on its diagonal, so a statistic that is
+a minimum-covariance-determinant estimate of their centre and scatter is made from the distinct rows,
+so that copies count once. Three starts (medians and median deviations, plain moments, moments
+weighted by distance) go on by concentration steps, each of which estimates mean and covariance from the
+half of the rows that lie nearest by Mahalanobis distance. The least determinant wins, and mean and covariance
+of all rows near it are the estimate. Small groups are pooled by language, and small languages together;
+with fewer than ``MIN_ROWS`` distinct rows there is no estimate and nothing is rejected. Every covariance gets fixed variances on its diagonal, so a statistic that is
 constant in a group rejects nobody for a trifle.
 
 Words are ``[^\x20\x09-\x0D]+``. NULL texts have no words and fail the base rules. NULL languages
@@ -21,15 +22,17 @@ from llm.registry import query, stored, table, text_or_empty
 
 MIN_WORDS = 50
 MIN_ROWS = 50
-NEAREST = 0.75
-#: Consistency of the covariance of the nearest three quarters in four dimensions.
-CONSISTENCY = 1.49
+#: Share of a group's distinct rows that a concentration step takes, and the consistency of their covariance in four dimensions.
+NEAREST, CONSISTENCY = 0.5, 2.109
+#: Squared distance (97.5 % of a normal distribution) of the rows that make the last estimate, and the consistency of that.
+REWEIGHT, REWEIGHT_CONSISTENCY = 11.143, 1.0645
 #: Least standard deviations of the transformed statistics. After the base rules z2 is at most 0.707 and z3 about 3,
 #: so that each statistic can pass the cutoff by itself: repeated words from 12 % on where a group has none.
 LEAST_SD = (0.1, 0.2, 0.06, 0.12)
 #: Squared Mahalanobis distance above which a text is rejected: the chi-square quantile of 1 - 1e-6 in four dimensions.
 CUTOFF = 33.377
-STEPS = 3
+#: Concentration steps end when no group's determinant falls by this share, or after ``STEPS``.
+STEPS, LEAST_GAIN = 8, 0.001
 Z = [f"z{i}" for i in range(len(LEAST_SD))]
 
 
@@ -71,7 +74,7 @@ def _strata(rows: DataFrame) -> DataFrame:
     """``rows`` with the group whose estimate judges them."""
     part = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
     rows = rows.withColumns({"lang_": part("lang"), "pair_": F.concat_ws("\t", part("lang"), part("source"))})
-    fit = rows.filter(~F.col("base_failed"))
+    fit = rows.filter(~F.col("base_failed")).select("lang_", "pair_", *Z).distinct()
     pairs = fit.groupBy("pair_").count().filter(F.col("count") >= MIN_ROWS).select("pair_", F.lit(True).alias("own_"))
     langs = (fit.join(pairs, "pair_", "left_anti").groupBy("lang_").count()
              .filter(F.col("count") >= MIN_ROWS).select("lang_", F.lit(True).alias("whole_")))
@@ -80,28 +83,40 @@ def _strata(rows: DataFrame) -> DataFrame:
                         .otherwise(F.lit("\t\t"))).drop("lang_", "pair_", "own_", "whole_"))
 
 
-def _distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """``rows`` with ``d2``, the squared Mahalanobis distance by their group's Cholesky factor."""
+def _distance(rows: DataFrame, estimates: DataFrame, *more: str) -> DataFrame:
+    """``rows`` with ``more`` of their group's estimates and ``d2``, the squared Mahalanobis distance by the Cholesky factor."""
     joined, solved = rows.join(estimates, "stratum", "left"), []
     for i, z in enumerate(Z):
         joined = joined.withColumn(f"y{i}", (F.col(z) - F.col(f"m{i}") - sum(
             (F.col(f"l{i}{j}") * F.col(f"y{j}") for j in range(i)), F.lit(0.0))) / F.col(f"l{i}{i}"))
         solved.append(F.col(f"y{i}") * F.col(f"y{i}"))
-    return joined.select(*rows.columns, sum(solved[1:], solved[0]).alias("d2"))
+    return joined.select(*rows.columns, *more, sum(solved[1:], solved[0]).alias("d2"))
 
 
 def _factor(moments: DataFrame, cov) -> DataFrame:
-    """Means and Cholesky factor of each group; ``cov(i, j)`` is a column of the moments."""
+    """Start, means and Cholesky factor of each group, and the logarithm of its determinant; ``cov(i, j)`` is a column of the moments."""
     out = moments
     for i in range(len(Z)):
         for j in range(i + 1):
             rest = cov(i, j) - sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
             out = out.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(1e-12))) if i == j else rest / F.col(f"l{j}{j}"))
-    return out.select("stratum", *(f"m{i}" for i in range(len(Z))), *(f"l{i}{j}" for i in range(len(Z)) for j in range(i + 1)))
+    return out.select("stratum", "start", sum((2 * F.log(f"l{i}{i}") for i in range(len(Z))), F.lit(0.0)).alias("volume"),
+                      *(f"m{i}" for i in range(len(Z))), *(f"l{i}{j}" for i in range(len(Z)) for j in range(i + 1)))
+
+
+def _moments(rows: DataFrame, consistency: float, weight: Column | None = None) -> DataFrame:
+    """The estimates from means and covariances of the rows of each group and start."""
+    weight = F.lit(1.0) if weight is None else weight
+    mean = lambda x: F.sum(weight * x) / F.sum(weight)
+    moments = rows.groupBy("stratum", "start").agg(
+        *(mean(F.col(z)).alias(f"m{i}") for i, z in enumerate(Z)),
+        *(mean(F.col(Z[i]) * F.col(Z[j])).alias(f"p{i}{j}") for i in range(len(Z)) for j in range(i + 1)))
+    return _factor(moments, lambda i, j: consistency * (F.col(f"p{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}"))
+                   + (LEAST_SD[i] ** 2 if i == j else 0.0))
 
 
 def _estimates(rows: DataFrame) -> DataFrame:
-    """The minimum-covariance-determinant estimate of each group of at least ``MIN_ROWS`` rows."""
+    """The reweighted minimum-covariance-determinant estimate of each group of at least ``MIN_ROWS`` distinct rows."""
     accuracy = 1000
     medians = rows.groupBy("stratum").agg(
         F.count(F.lit(1)).alias("n"), *(F.percentile_approx(z, 0.5, accuracy).alias(f"m{i}") for i, z in enumerate(Z)))
@@ -109,16 +124,22 @@ def _estimates(rows: DataFrame) -> DataFrame:
     deviations = rows.join(medians, "stratum").groupBy("stratum").agg(
         *(F.first(f"m{i}").alias(f"m{i}") for i in range(len(Z))),
         *(F.percentile_approx(F.abs(F.col(z) - F.col(f"m{i}")), 0.5, accuracy).alias(f"s{i}") for i, z in enumerate(Z)))
-    estimates = _factor(deviations, lambda i, j: F.pow(1.4826 * F.col(f"s{i}"), F.lit(2.0)) + LEAST_SD[i] ** 2 if i == j else F.lit(0.0))
-    for _ in range(STEPS):
-        ranked = _distance(rows, stored(estimates, "mcd")).filter(F.col("d2").isNotNull())
-        reach = ranked.groupBy("stratum").agg(F.percentile_approx("d2", NEAREST, accuracy).alias("reach"))
-        moments = ranked.join(reach, "stratum").filter(F.col("d2") <= F.col("reach")).groupBy("stratum").agg(
-            *(F.avg(z).alias(f"m{i}") for i, z in enumerate(Z)),
-            *(F.avg(F.col(Z[i]) * F.col(Z[j])).alias(f"p{i}{j}") for i in range(len(Z)) for j in range(i + 1)))
-        estimates = _factor(moments, lambda i, j: CONSISTENCY * (F.col(f"p{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}"))
-                            + (LEAST_SD[i] ** 2 if i == j else 0.0))
-    return stored(estimates, "mcd")
+    middle = stored(_factor(deviations.withColumn("start", F.lit(0)), lambda i, j: (
+        F.pow(1.4826 * F.col(f"s{i}"), F.lit(2.0)) + LEAST_SD[i] ** 2 if i == j else F.lit(0.0))), "mcd")
+    far = _distance(rows, middle).filter(F.col("d2").isNotNull())
+    starts = [middle, _moments(far.withColumn("start", F.lit(1)), 1.0), _moments(far.withColumn("start", F.lit(2)), 1.0, 1 / (1 + F.col("d2")))]
+    estimates = stored(starts[0].unionByName(starts[1]).unionByName(starts[2]), "mcd")
+    for step in range(STEPS):
+        ranked = _distance(rows, estimates, "start").filter(F.col("d2").isNotNull())
+        reach = ranked.groupBy("stratum", "start").agg(F.percentile_approx("d2", NEAREST, accuracy).alias("reach"))
+        before, estimates = estimates, stored(_moments(ranked.join(reach, ["stratum", "start"]).filter(F.col("d2") <= F.col("reach")), CONSISTENCY), "mcd")
+        smaller = estimates.join(before.select("stratum", "start", F.col("volume").alias("before")), ["stratum", "start"])
+        if step and smaller.filter(F.col("volume") < F.col("before") - LEAST_GAIN).isEmpty():
+            break
+    columns = estimates.columns[1:]
+    least = estimates.groupBy("stratum").agg(F.min(F.struct("volume", *(c for c in columns if c != "volume"))).alias("least"))
+    least = stored(least.select("stratum", *(F.col("least")[c].alias(c) for c in columns)), "mcd")
+    return stored(_moments(_distance(rows, least, "start").filter(F.col("d2") <= REWEIGHT), REWEIGHT_CONSISTENCY), "mcd")
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -132,7 +153,8 @@ def judge(docs: DataFrame) -> DataFrame:
     rows = stored(measured, "statistics")
     rows = stored(_strata(rows), "strata")
     verdict = F.col("base_failed") | F.coalesce(F.col("d2") > CUTOFF, F.lit(False))
-    fit = rows.filter(~F.col("base_failed")).select("stratum", *Z)
+    fit = rows.filter(~F.col("base_failed")).select("stratum", *Z).distinct()
+    fit = stored(fit, "fit")
     return _distance(rows, _estimates(fit)).withColumn("kept", ~verdict).drop("stratum", *Z)
 
 

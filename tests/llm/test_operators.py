@@ -223,6 +223,17 @@ def test_quality_rejects_repetition_below_the_base_limit(spark):
     assert not any(r["base_failed"] or r["kept"] for i, r in got.items() if i >= 1000)
 
 
+@pytest.mark.parametrize("copies", [True, False])
+def test_quality_rejects_junk_of_a_third_of_a_group(spark, copies):
+    rows = [(i, " ".join(words(i, 60 + i % 50, 5000)), "en", "a", None) for i in range(200)]
+    for k in range(100):  # copies of one text, or texts that differ by a few words
+        junk = [w + "###" for w in words(900, 80, 5000)] + ([] if copies else words(1000 + k, 1 + k % 7, 5000))
+        rows.append((1000 + k, " ".join(junk), "en", "a", None))
+    got = {r["doc_id"]: r for r in rows_of(quality.judge(spark.createDataFrame(rows, DOCS)))}
+    assert all(got[i]["kept"] for i in range(200))
+    assert not any(got[1000 + k]["kept"] or got[1000 + k]["base_failed"] for k in range(100))
+
+
 def test_toxicity_learns_prefixes_and_spellings(spark):
     rng = random.Random(6)
     rows, labels = [], []
