@@ -29,10 +29,9 @@ from llm.registry import query, table, text_or_empty
 #: The contract's patterns, fixed values.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
-HEX = r"[0-9a-f]+"
 #: What the models judge; possessive, so that a text is read once.
 RUN = r"[A-Za-z0-9+/_=-]{16,}+"
-#: Hex runs under the limit need not be found one by one; they only separate longer ones.
+#: The contract's hex runs of 24 characters or more: those under the limit are dropped anyway.
 LONG_HEX = r"[0-9a-f]{24,}+"
 KINDS = ("assign", "access", "hex", "markov")
 MIN_LENGTH = 16
@@ -43,7 +42,7 @@ LOWEST, CODES = 43, 80
 ALPHABET = 67
 PRIOR = 0.5
 #: Labelled samples: documents (lowest hash of the id) whose words are ordinary, and random strings of each kind.
-SAMPLE_DOCS = 2000
+SAMPLE_DOCS = 500
 SAMPLE_STRINGS = 2000
 ORDINARY = "ordinary"
 
@@ -66,6 +65,19 @@ def random_samples(spark: SparkSession, strings: int = SAMPLE_STRINGS) -> DataFr
         F.struct(value.alias("value"), F.lit(kind).alias("kind")) for kind, value in kinds.items()))).alias("x")).select("x.*")
 
 
+def number_samples(spark: SparkSession, strings: int = SAMPLE_STRINGS) -> DataFrame:
+    """(value, kind): decimal numbers, which are ordinary however random their digits."""
+    digest = F.sha2(F.concat(F.lit("n"), F.col("id").cast("string")).cast("binary"), 256)
+    part = lambda at: F.conv(F.substring(digest, at, 15), 16, 10)
+    return spark.range(strings).select(F.concat(part(1), part(16)).alias("value"), F.lit(ORDINARY).alias("kind"))
+
+
+def labelled_samples(docs: DataFrame) -> DataFrame:
+    """(value, kind): random strings, numbers, and words of a bounded sample of ``docs``."""
+    spark = docs.sparkSession
+    return random_samples(spark).unionByName(number_samples(spark)).unionByName(ordinary_samples(docs))
+
+
 def ordinary_samples(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """(value, kind): words of a bounded sample of documents as they stand and in upper case, and pairs of neighbours in the
     styles in which identifiers are joined. What the patterns find is taken out first."""
@@ -87,16 +99,22 @@ def _codes(value: Column) -> Column:
     return F.transform(F.split(value, ""), lambda c: F.ascii(c) - LOWEST)
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def train(samples: DataFrame) -> Markov:
     """Models of all kinds of the labelled samples (value, kind), of which one kind is ``ORDINARY``.
 
     Characters outside the alphabet of runs are left out.
     """
+    counted = samples.groupBy("kind", "value").count()  # each distinct string is taken apart once
     codes = _codes(F.regexp_replace("value", "[^A-Za-z0-9+/_=-]", ""))
-    coded = samples.filter(F.col("value").rlike("[A-Za-z0-9+/_=-]")).select("kind", codes.alias("c"))
-    pairs = F.transform(F.slice("c", 2, F.greatest(F.size("c") - 1, F.lit(0))), lambda x, i: F.get(F.col("c"), i) * CODES + x)
-    firsts = F.array(-1 - F.get(F.col("c"), F.lit(0)))
-    counts = coded.select("kind", F.explode(F.concat(firsts, pairs)).alias("pair")).groupBy("kind", "pair").count().collect()
+    steps = _once(codes, lambda c: F.concat(F.array(-1 - F.get(c, F.lit(0))), F.transform(
+        F.slice(c, 2, F.greatest(F.size(c) - 1, F.lit(0))), lambda x, i: F.get(c, i) * CODES + x)))
+    pairs = counted.filter(F.col("value").rlike("[A-Za-z0-9+/_=-]")).select("kind", "count", F.explode(steps).alias("pair"))
+    counts = pairs.groupBy("kind", "pair").agg(F.sum("count").alias("count")).collect()
     kinds = sorted({r["kind"] for r in counts} | {ORDINARY})
     seen = {kind: {} for kind in kinds}
     for r in counts:
@@ -123,26 +141,29 @@ def log_likelihood_ratio(value: Column, model: Markov) -> Column:
 
     if not model.pairs:
         return F.lit(0.0)
-    scores = lambda codes: F.array_max(F.array(*(of(kind, codes) for kind in model.pairs)))
-    return F.get(F.transform(F.array(_codes(value)), scores), F.lit(0))
+    return _once(_codes(value), lambda codes: F.array_max(F.array(*(of(kind, codes) for kind in model.pairs))))
 
 
-def _matches(text: Column, kind: int, pattern: str, present: Column | None = None) -> Column:
-    """Array of (kind, number, gap, value): the matches of a pattern and the code points between each and the one before."""
+def _matches(text: Column, kind: int, pattern: str, possible: Column) -> Column:
+    """Array of (kind, number, gap, value): the matches of a pattern and the code points between each and the one before.
+
+    Where ``possible`` is false there are none.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    out = F.transform(found, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("number"), F.length(F.get(gaps, i)).alias("gap"), x.alias("value")))
-    return F.when(text.rlike(pattern) if present is None else present, out).otherwise(F.array().cast(
-        "array<struct<kind:int,number:int,gap:int,value:string>>"))
+    out = _once(F.split(text, pattern, -1), lambda gaps: F.transform(found, lambda x, i: F.struct(
+        F.lit(kind).alias("kind"), i.alias("number"), F.length(F.get(gaps, i)).alias("gap"), x.alias("value"))))
+    return F.when(possible & text.rlike(pattern), out).otherwise(F.array().cast("array<struct<kind:int,number:int,gap:int,value:string>>"))
 
 
 def find_secrets(docs: DataFrame, model: Markov, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, found) of each row: the spans (start, order, end, kind, value, ratio) by start and then kind, with the
     log-likelihood ratio of those that the models found."""
     text = F.col("text_")
-    patterns = (ASSIGN, ACCESS, LONG_HEX, RUN)
-    rows = docs.select(F.col(id_col).alias("id_"), text_or_empty(text_col).alias("text_")).withColumn("row_", F.monotonically_increasing_id())
-    rows = rows.select("row_", "id_", F.concat(*(_matches(text, k, p) for k, p in enumerate(patterns))).alias("m_"))
+    run = F.col("run_")  # a long hex run is a run too, and the other two patterns need these characters
+    patterns = ((ASSIGN, F.contains(text, F.lit("=")) | F.contains(text, F.lit(":"))), (ACCESS, F.contains(text, F.lit("AKIA"))), (LONG_HEX, run), (RUN, run))
+    rows = docs.select(F.col(id_col).alias("id_"), text_or_empty(text_col).alias("text_")).withColumns(
+        {"row_": F.monotonically_increasing_id(), "run_": text.rlike(RUN)})
+    rows = rows.select("row_", "id_", F.concat(*(_matches(text, k, *p) for k, p in enumerate(patterns))).alias("m_"))
     hits = rows.select("row_", "id_", F.explode_outer("m_").alias("m")).select("row_", "id_", "m.*")
     own = Window.partitionBy("row_", "kind").orderBy("number")
     placed = hits.withColumn("end", F.sum(F.col("gap") + F.length("value")).over(own.rowsBetween(Window.unboundedPreceding, 0)))
@@ -166,7 +187,7 @@ def find_secrets(docs: DataFrame, model: Markov, id_col: str = "doc_id", text_co
 @query("op13_secrets")
 def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = train(random_samples(spark).unionByName(ordinary_samples(docs)))
+    model = train(labelled_samples(docs))
     found = find_secrets(docs, model).withColumn("base", F.filter("found", lambda x: x["order"] < 3))
     text = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
     count = lambda kind: F.size(F.filter("base", lambda x: x["order"] == kind)).cast("long")
