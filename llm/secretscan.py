@@ -57,7 +57,7 @@ class Markov(NamedTuple):
 def random_samples(spark: SparkSession, strings: int = SAMPLE_STRINGS) -> DataFrame:
     """(value, kind): strings of hashes, written in the alphabets in which secrets are."""
     digest = lambda name: F.sha2(F.concat(F.lit(name), F.col("id").cast("string")).cast("binary"), 256)
-    b64 = lambda name: F.rtrim(F.lit("="), F.base64(F.unhex(digest(name))))
+    b64 = lambda name: F.rtrim(F.base64(F.unhex(digest(name))), F.lit("="))
     kinds = {"hex": F.substring(digest("a"), 1, 40), "HEX": F.upper(F.substring(digest("b"), 1, 40)),
              "base64": b64("c"), "base64url": F.translate(b64("d"), "+/", "-_"), "letters": F.regexp_replace(b64("e"), "[+/]", ""),
              "upper": F.regexp_replace(F.upper(b64("f")), "[+/]", "")}
