@@ -66,14 +66,17 @@ def random_samples(spark: SparkSession, strings: int = SAMPLE_STRINGS) -> DataFr
 
 
 def number_samples(spark: SparkSession, strings: int = SAMPLE_STRINGS) -> DataFrame:
-    """(value, kind): decimal numbers, which are ordinary however random their digits."""
+    """(value, kind): decimal numbers, times and rulers of one character, which are ordinary however long they are."""
     digest = F.sha2(F.concat(F.lit("n"), F.col("id").cast("string")).cast("binary"), 256)
     part = lambda at: F.conv(F.substring(digest, at, 15), 16, 10)
-    return spark.range(strings).select(F.concat(part(1), part(16)).alias("value"), F.lit(ORDINARY).alias("kind"))
+    time = F.timestamp_seconds(F.col("id") * 777_777 + 946_684_800)
+    mark = F.substring(F.lit("+/_=-ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"), (F.col("id") % 67 + 1).cast("int"), F.lit(1))
+    values = F.array(F.concat(part(1), part(16)), F.date_format(time, "yyyy-MM-dd'T'HH-mm-ss"), F.date_format(time, "yyyyMMdd_HHmmss"), F.repeat(mark, F.lit(20)))
+    return spark.range(strings).select(F.explode(values).alias("value"), F.lit(ORDINARY).alias("kind"))
 
 
 def labelled_samples(docs: DataFrame) -> DataFrame:
-    """(value, kind): random strings, numbers, and words of a bounded sample of ``docs``."""
+    """(value, kind): random strings, numbers and the like, and words of a bounded sample of ``docs``."""
     spark = docs.sparkSession
     return random_samples(spark).unionByName(number_samples(spark)).unionByName(ordinary_samples(docs))
 

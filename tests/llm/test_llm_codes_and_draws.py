@@ -200,15 +200,18 @@ def test_secrets_are_brute_force(spark, model):
     assert secretscan.find_secrets(docs_of(spark, []), model[0]).count() == 0
 
 
-def test_models_tell_random_strings_from_identifiers(spark, model):
+def test_models_tell_random_strings_from_identifiers(spark, sf_dir, model):
     rng = random.Random(9)
     kinds = {"b64": lambda: base64.b64encode(rng.randbytes(18)).decode(), "hex": lambda: rng.randbytes(16).hex().upper(),
              "letters": lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(24))}
     rows = [(i, kinds[k]()) for k in kinds for i in range(200)]
-    names = ["get_user_account_by_id", "TheLongestClassNameFactory", "internationalization", "2024-01-15T10-30-00", "path/to/some/old/file-name", "1234567890123456", "-" * 30, "Geschwindigkeitsbegrenzung"]
+    words = [w for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect() for w in re.findall("[a-z]{3,}", r["text"] or "")]
+    names = [rng.choice(["_", "-", "/", "="]).join(rng.choice(words) for _ in range(4)) for _ in range(300)]
+    names += ["".join(rng.choice(words).capitalize() for _ in range(4)) for _ in range(300)] + ["2031-01-15T10-30-00", "1234567890123456", "7" * 60, "-" * 60, "=" * 40]
     found = [bool(r["found"]) for r in rows_of(secretscan.find_secrets(docs_of(spark, rows), model[0]))]
     assert sum(found) >= 0.97 * len(found)
-    assert not any(r["found"] for r in rows_of(secretscan.find_secrets(docs_of(spark, list(enumerate(names))), model[0])))
+    wrong = [x["value"] for r in rows_of(secretscan.find_secrets(docs_of(spark, list(enumerate(names))), model[0])) for x in r["found"]]
+    assert len(wrong) <= 0.005 * len(names)
 
 
 def test_secrets_query_is_brute_force(spark, sf_dir, model):
