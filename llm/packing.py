@@ -1,10 +1,12 @@
 """Best-fit packing of token sequences by hierarchical residual packing.
 
 Documents are tokenised where they lie and cut into pieces no longer than a sequence; only the first
-piece of a cut document may be shorter. Full pieces are sequences of their own. Of the rest each
-partition packs its own pieces best-fit, longest first. Nearly full bins are emitted; underfull bins
-go on as items and are merged as a tree: fewer and fewer partitions, each of a bounded number of
-bins, pack them best-fit again. What is underfull at the root is emitted as it is.
+piece of a cut document may be shorter. Full pieces are sequences of their own. The rest are dealt over
+tasks of a bounded number of pieces, each with its share of every length however they were stored, and each task packs its own best-fit,
+longest first. Nearly full bins are emitted; underfull bins go on as items and are merged as a tree: each
+round deals them anew over fewer tasks, each of a bounded number of bins, so that bins of all fills
+meet, and packs them best-fit again. Rounds go on until one lowers the number of bins by less than ``LEAST_GAIN``
+of them, or by none where a single task holds all. What is underfull then is emitted as it is.
 
 A bin has at most as many members as tokens, so rows are bounded. Each round is stored, hence a lost
 task repeats one round at most. NULL text: an empty document, which is its end token alone. NULL
@@ -31,7 +33,9 @@ from llm.registry import per_worker, query, stored, table, text_or_empty
 #: A bin with no more than this share of its capacity free is emitted at once.
 NEARLY_FULL = 1 / 256
 FAN_IN = 8
+PIECES_PER_TASK = 20_000
 BINS_PER_TASK = 10_000
+LEAST_GAIN = 1 / 1000
 BLOCK_ROWS = 256
 #: How byte-level vocabularies of this kind cut a text, a fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -161,6 +165,12 @@ def _round(items: DataFrame, capacity: int, schema: str) -> DataFrame:
     return items.select("fill", "members").mapInArrow(run, schema)
 
 
+def _dealt(items: DataFrame, parts: int) -> DataFrame:
+    """``items`` over ``parts`` tasks, each of which gets its share of the items of every size."""
+    turn = (F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) % parts).cast("int")
+    return items.sortWithinPartitions("fill").withColumn("turn_", turn).repartitionById(parts, F.col("turn_")).drop("turn_")
+
+
 def pack(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
     """Stored ``pieces`` (any columns with a length of 1 to ``capacity``) with sequence_id and offset."""
     member = F.struct(*(F.col(c) for c in pieces.columns))
@@ -169,17 +179,17 @@ def pack(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
     full = pieces.filter(F.col("length") == capacity).select(
         *pieces.columns, (F.monotonically_increasing_id() * 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     items = pieces.filter(F.col("length") < capacity).select(F.col("length").alias("fill"), F.array(member).alias("members"))
-    parts, emitted = items.rdd.getNumPartitions(), []
+    count = items.count()
+    parts, emitted = max(1, math.ceil(count / PIECES_PER_TASK)), []
     while True:
-        bins = stored(_round(items, capacity, schema), "bins")
-        underfull = bins.filter("open")
-        count = underfull.count()
-        fewer = max(1, math.ceil(parts / FAN_IN), math.ceil(count / BINS_PER_TASK))
-        if fewer >= parts:
+        bins = stored(_round(_dealt(items, parts), capacity, schema), "bins")
+        made, left = bins.agg(F.count(F.lit(1)), F.count_if("open")).first()
+        if left == 0 or made == count or parts > 1 and count - made < LEAST_GAIN * count:
             emitted.append(bins)
             break
         emitted.append(bins.filter("NOT open"))
-        parts, items = fewer, underfull.select("fill", "members").repartition(fewer)
+        items, count = bins.filter("open").select("fill", "members"), left
+        parts = max(math.ceil(parts / FAN_IN), math.ceil(left / BINS_PER_TASK))
     out = emitted[0]
     for more in emitted[1:]:
         out = out.unionByName(more)

@@ -7,10 +7,11 @@ chance of being toxic. A text is as toxic as its most toxic passage. Vectors and
 together from labels of whole texts: the log of the mean of exponentials over a text's passages
 stands for its score, first nearly their mean and, as it sharpens, their maximum.
 
-Learning uses a bounded sample: ``PER_LABEL`` labelled texts of each label, lowest hash of the id
-first, of at most ``TRAIN_BYTES`` bytes each. Scoring reads every text whole. Rows whose
+Learning uses a bounded sample: of the labelled texts that there are, ``PER_LABEL`` of each label, lowest hash
+of the id first. Texts of more than ``TRAIN_BYTES`` bytes come last, and of them evenly spaced passages of about so
+many bytes are learned from. Scoring reads every text whole. Rows whose
 crc32(doc_id as text) mod 3 is 1 are never learned from. NULL and empty texts score 0. Without labels
-of both kinds everything scores 0. A NULL doc_id is not held out. Repeated rows score alike.
+of both kinds everything scores 0, so nothing is filtered. A NULL doc_id is not held out. Repeated rows score alike.
 """
 
 from __future__ import annotations
@@ -124,14 +125,14 @@ def held_out(doc_id: Column) -> Column:
 def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[int]]:
     """At most ``PER_LABEL`` texts of each label, as lists on the driver."""
     usable = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    usable = usable.select("doc_id", "toxic", F.xxhash64("doc_id").alias("order_"))
-    chosen = None
-    for value in (0, 1):
-        part = usable.filter(F.col("toxic") == value).orderBy("order_", "doc_id").limit(PER_LABEL)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    short = docs.select("doc_id", "text").filter(F.octet_length("text") <= TRAIN_BYTES)
-    rows = short.join(F.broadcast(chosen), "doc_id").orderBy("order_", "doc_id", "text").limit(2 * PER_LABEL).select("text", "toxic").toArrow()
-    return rows.column("text").to_pylist(), rows.column("toxic").to_pylist()
+    usable = usable.select(F.col("doc_id").alias("labelled_"), F.col("toxic").alias("toxic_")).distinct()
+    size = F.octet_length("text")
+    step = F.ceil(size / F.lit(TRAIN_BYTES))
+    thin = F.array_join(F.filter(F.split("text", r"\s+"), lambda word, i: F.floor(i / WINDOW) % step == 0), " ")
+    texts = docs.filter(size > 0).select("doc_id", F.when(step > 1, thin).otherwise(F.col("text")).alias("text_"), (step > 1).alias("long_"))
+    found = texts.join(usable, F.col("doc_id") == F.col("labelled_")).select("text_", "toxic_", "long_", F.xxhash64("doc_id").alias("order_"))
+    chosen = [found.filter(F.col("toxic_") == value).orderBy("long_", "order_", "text_").limit(PER_LABEL).select("text_", "toxic_").toArrow() for value in (0, 1)]
+    return [t for part in chosen for t in part.column(0).to_pylist()], [v for part in chosen for v in part.column(1).to_pylist()]
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
