@@ -1,8 +1,11 @@
 r"""Passages that documents share, found by collinear chaining.
 
-Runs of ``SEED_WORDS`` words, thinned to window minima, are the seeds. Of each seed that several
+Runs of ``SEED_WORDS`` words, thinned to window minima, are the seeds, and so are runs of ``MIN_WORDS`` words, which
+stand for the short seeds at ``LONG_STEPS`` in them. Of each seed that several
 documents hold, the smallest document is the source, and every other document that has it matches
-the source there; so a passage that a third of all documents share gives as many matches as there are
+the source there. A long seed makes the pair of documents share a whole passage, whatever smaller documents
+hold parts of it; an equal run of ``MIN_WORDS + WINDOW - 1`` words always has one. Shorter ones may be missed where every
+short seed in them stands in a smaller document too. As sources are one to a seed, a passage that a third of all documents share gives as many matches as there are
 documents, not pairs. A document's matches with one source are chained in the order of both texts:
 each adds its words and pays for the gap since the one before, and a Fenwick tree of prefix maxima
 finds the best predecessor. Chains long enough are aligned word by word, between their matches and on
@@ -10,7 +13,8 @@ beyond both ends, and every stretch of at least ``MIN_WORDS`` words of which ``M
 
 Words are ``[^\x20\x09-\x0D]+``, A-Z as a-z, compared by hashes. Passages within one document are not
 looked for. NULL and empty texts and rows without doc_id have no passages and stay as they are. Rows
-that repeat a doc_id are one document. Documents of equal text share the whole text, and the greater
+that repeat a doc_id with the same text are one document; with other texts, the text of least hash is the document
+and the other rows stay as they are. Documents of equal text share the whole text, and the greater
 doc_id has the passage. Other columns of the input are kept by ``remove_passages`` and ignored else.
 """
 
@@ -24,11 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.minhash import shingle_hashes, word_hashes
+from llm.minhash import mix, shingle_hashes, word_hashes
 from llm.registry import query, sorted_groups, stored, table, text_or_empty
 
 MIN_WORDS, MIN_IDENTITY = 50, 0.8
 SEED_WORDS, WINDOW = 8, 16
+#: Places in a long seed of the short seeds that it stands for.
+LONG_STEPS = (0, 14, 28, MIN_WORDS - SEED_WORDS)
 #: Cost of a word of gap in either text; with SEED_WORDS a chain bridges about 40 words in both.
 GAP_COST = 0.1
 #: Words covered by the seeds that any equal passage of MIN_WORDS words has at least.
@@ -60,8 +66,17 @@ def seed_positions(seeds: np.ndarray) -> np.ndarray:
     return np.flatnonzero(_sliding(around, WINDOW, np.maximum, 0) == seeds)
 
 
+def long_hashes(hashes: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of ``MIN_WORDS`` words, from those of ``SEED_WORDS`` words."""
+    n = len(hashes) - (MIN_WORDS - SEED_WORDS)
+    out = hashes[:n]
+    for k in [*range(SEED_WORDS, MIN_WORDS - SEED_WORDS, SEED_WORDS), MIN_WORDS - SEED_WORDS]:
+        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + hashes[k:k + n])
+    return out
+
+
 def _seeds(docs: DataFrame) -> DataFrame:
-    """(seed, doc, pos, first): where seeds stand, and where the document has them first."""
+    """(seed, doc, pos, first): where seeds stand, and where the document has them first. Long seeds are odd numbers, short ones even."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
@@ -71,13 +86,15 @@ def _seeds(docs: DataFrame) -> DataFrame:
                     words = word_hashes(text.as_py())
                     if len(words) < MIN_WORDS:
                         continue
-                    hashes = shingle_hashes(words, SEED_WORDS)
-                    p = seed_positions(hashes)
-                    _, index, inverse = np.unique(hashes[p], return_index=True, return_inverse=True)
-                    seed.append(hashes[p].view(np.int64))
-                    pos.append(p.astype(np.int32))
-                    first.append(p[index][inverse].astype(np.int32))
-                    doc.append(np.full(len(p), i, np.int64))
+                    short = shingle_hashes(words, SEED_WORDS)
+                    for hashes, odd in ((short, 0), (long_hashes(short), 1)):
+                        p = seed_positions(hashes)
+                        own = hashes[p] >> np.uint64(1) << np.uint64(1) | np.uint64(odd)
+                        _, index, inverse = np.unique(own, return_index=True, return_inverse=True)
+                        seed.append(own.view(np.int64))
+                        pos.append(p.astype(np.int32))
+                        first.append(p[index][inverse].astype(np.int32))
+                        doc.append(np.full(len(p), i, np.int64))
                 if seed:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (seed, doc, pos, first)], names=["seed", "doc", "pos", "first"])
 
@@ -129,6 +146,8 @@ def _chains(matches: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, ["doc", "source"]):
             p, c = group.column("pos").to_numpy(), group.column("source_pos").to_numpy()
+            new = np.concatenate([[True], (p[1:] != p[:-1]) | (c[1:] != c[:-1])])  # long and short seeds may say the same
+            p, c = p[new], c[new]
             if p.max() - p.min() + SEED_WORDS < LEAST_SPAN:
                 continue
             found = [(p[x], c[x]) for x in chain(p, c) if p[x[-1]] - p[x[0]] + SEED_WORDS >= LEAST_SPAN]
@@ -311,15 +330,28 @@ def _passages(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * len(names), types)], names=names)
 
 
+def _one_text(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``own_``: whether a row's text is that of its document, which it is unless rows of one id differ in text."""
+    key, mark = F.col("doc_id").cast("long"), F.coalesce(F.xxhash64("text"), F.lit(0))
+    differing = docs.filter("doc_id IS NOT NULL").groupBy(key.alias("id_")).agg(F.min(mark).alias("least_"), F.max(mark).alias("greatest_")).filter(
+        "least_ < greatest_").drop("greatest_")
+    differing = stored(differing, "differing")
+    if differing.isEmpty():
+        return docs.withColumn("own_", F.lit(True))
+    return docs.join(differing, key == F.col("id_"), "left").withColumn("own_", F.col("id_").isNull() | (mark == F.col("least_"))).drop("id_", "least_")
+
+
 def shared_passages(docs: DataFrame) -> DataFrame:
     """(doc_id, start, end, source_id, source_start, source_end, agreed): passages of ``docs`` (doc_id, text) that
     a document of a smaller id has too, in words from 0 (end excluded), with the number of words that agree."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = _one_text(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).filter("own_").select("doc_id", "text")
     seeds = stored(_seeds(docs), "seeds")
     shared = seeds.groupBy("seed").agg(F.min("doc").alias("source"), F.min_by("first", "doc").alias("source_pos"), F.max("doc").alias("last")).filter(
         "source < last").drop("last")
     shared = stored(shared, "shared")  # so that the join below is between two plain exchanges, which can be split
-    matches = seeds.join(shared, "seed").filter("doc <> source").select("doc", "pos", "source", "source_pos")
+    steps = F.when(F.col("seed").bitwiseAND(1) == 1, F.array(*map(F.lit, LONG_STEPS))).otherwise(F.array(F.lit(0)))
+    matches = seeds.join(shared, "seed").filter("doc <> source").select("doc", "pos", "source", "source_pos", F.explode(steps).alias("step"))
+    matches = matches.select("doc", (F.col("pos") + F.col("step")).alias("pos"), "source", (F.col("source_pos") + F.col("step")).alias("source_pos"))
     chains = stored(_chains(matches), "chains")
     ids = stored(chains.select(F.explode(F.array("doc", "source")).alias("doc_id")).distinct(), "ids")
 
@@ -345,7 +377,7 @@ def remove_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
             at, texts = columns.index("text"), []
             for text, found in zip(batch.column(at), batch.column(len(columns))):
                 text, found = text.as_py(), found.as_py()
-                if found:
+                if found and text is not None:
                     spans = [m.span() for m in WORD.finditer(text)]
                     parts, done = [], 0
                     for a, b in sorted((x["start"], x["end"]) for x in found):
@@ -356,7 +388,8 @@ def remove_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
                 texts.append(text)
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if k == at else c for k, c in enumerate(batch.columns[:len(columns)])], names=columns)
 
-    return docs.join(cuts.withColumnRenamed("doc_id", "cut_id_"), F.col("doc_id").cast("long") == F.col("cut_id_"), "left").select(
+    ours = _one_text(docs)
+    return ours.join(cuts.withColumnRenamed("doc_id", "cut_id_"), ours["own_"] & (F.col("doc_id").cast("long") == F.col("cut_id_")), "left").select(
         *docs.columns, "cuts").mapInArrow(run, schema)
 
 
