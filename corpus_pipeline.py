@@ -2,8 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept, and is written as
 Parquet and read again before the next. All but the last return the columns of ``documents``. Stages
-learn nothing about rows that were removed before. NULLs, empty and repeated rows go through the
-operators as their docstrings say; an empty table stays empty.
+learn nothing about rows that were removed before. Verdicts and passages belong to rows: those that share an id,
+or have none, are judged, compared and cut each by its own text. NULL texts fail the quality rules; alone, the later
+stages keep them as they are. Other columns are dropped. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -19,15 +20,29 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SHINGLE_WORDS = 5
 
 
-def _only(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is kept by ``verdicts`` (doc_id, kept); of rows of one id, or of none, all stay if one does."""
-    out = verdicts.groupBy("doc_id").agg(F.max("kept").alias("kept")).filter("NOT kept").select(F.col("doc_id").alias("gone_"))
-    return docs.join(stored(out, "gone"), docs["doc_id"].eqNullSafe(F.col("gone_")), "left_anti")
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``row_``, a number of each row: its doc_id, or one above all ids where that is NULL or repeated."""
+    counts = docs.groupBy("doc_id").count()
+    several = stored(counts.filter("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("twice_")), "repeated")
+    if several.isEmpty() and docs.filter("doc_id IS NULL").isEmpty():
+        return docs.withColumn("row_", F.col("doc_id"))
+    above = docs.agg(F.coalesce(F.max("doc_id"), F.lit(-1))).first()[0] + 1
+    marked = docs.join(several, F.col("doc_id") == F.col("twice_"), "left")
+    own = F.col("twice_").isNull() & F.col("doc_id").isNotNull()
+    # stored, so that every use of it sees the same numbers
+    return stored(marked.withColumn("row_", F.when(own, F.col("doc_id")).otherwise(above + F.monotonically_increasing_id())).drop("twice_"), "numbered")
+
+
+def _only(rows: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """The numbered rows that ``verdicts`` (row_, kept) keeps."""
+    gone = stored(verdicts.filter("NOT kept").select(F.col("row_").alias("gone_")), "gone")
+    return rows.join(gone, F.col("row_") == F.col("gone_"), "left_anti").select(*COLUMNS)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are no outliers of their language and source."""
-    return _only(docs.select(*COLUMNS), quality.judge(docs.select(*COLUMNS)).select("doc_id", "kept"))
+    rows = _numbered(docs.select(*COLUMNS))
+    return _only(rows, quality.judge(rows.select("row_", "text", "lang", "source")))
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,19 +52,19 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near-duplicates on shingles of five words."""
-    verdicts = minhash.near_duplicates(docs, SHINGLE_WORDS).select("doc_id", "kept")
-    kept, repeated = _only(docs.select(*COLUMNS), verdicts), stored(docs.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("twice_")), "repeated")
-    once = docs["doc_id"].eqNullSafe(F.col("twice_"))
-    return kept.join(repeated, once, "left_anti").unionByName(kept.join(repeated, once, "left_semi").dropDuplicates(["doc_id", "text"]))
+    """One document, that of the smallest number, of each group of near-duplicates on shingles of five words."""
+    rows = _numbered(docs.select(*COLUMNS))
+    verdicts = minhash.near_duplicates(rows.select(F.col("row_").alias("doc_id"), "text"), SHINGLE_WORDS)
+    return _only(rows, verdicts.select(F.col("doc_id").alias("row_"), "kept"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that a document of a smaller id has too; n_chars is counted anew where text went."""
-    docs = docs.select(*COLUMNS)
-    cut = substring.remove_passages(docs.withColumn("before_", F.xxhash64("text")), substring.shared_passages(docs))
+    """Documents without the passages that a document of a smaller number has too; n_chars is counted anew where text went."""
+    rows = _numbered(docs.select(*COLUMNS)).withColumnsRenamed({"doc_id": "own_id_", "row_": "doc_id"})
+    cut = substring.remove_passages(rows.withColumn("before_", F.xxhash64("text")), substring.shared_passages(rows))
     changed = ~F.xxhash64("text").eqNullSafe(F.col("before_"))
-    return cut.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+    cut = cut.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return cut.drop("doc_id").withColumnRenamed("own_id_", "doc_id").select(*COLUMNS)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
