@@ -15,7 +15,8 @@ Words are ``[^\x20\x09-\x0D]+``, A-Z as a-z, compared by hashes. Passages within
 looked for. NULL and empty texts and rows without doc_id have no passages and stay as they are. Rows
 that repeat a doc_id with the same text are one document; with other texts, the text of least hash is the document
 and the other rows stay as they are. Documents of equal text share the whole text, and the greater
-doc_id has the passage. Other columns of the input are kept by ``remove_passages`` and ignored else.
+doc_id has the passage. Other columns of the input are kept by
+``remove_passages``, which takes the names id_, least_, own_, cut_id_ and cuts_ for itself, and ignored else.
 """
 
 from __future__ import annotations
@@ -294,10 +295,20 @@ def align(x: list[int], y: list[int], p: list[int], c: list[int]) -> list[tuple[
             k = int(inner[wide[inner].argmax()])
             longest += [(k + 1, j), (i, k)]
         else:
-            out.append(tuple(int(v) for v in (start + n[i], start + n[j], source_start + m[i], source_start + m[j], same[j] - same[i])))
+            out.append(_widened(x, y, *(int(v) for v in (start + n[i], start + n[j], source_start + m[i], source_start + m[j], same[j] - same[i]))))
     return sorted(out)
 
 
+def _widened(x: list[int], y: list[int], a: int, b: int, s: int, t: int, agreed: int) -> tuple[int, int, int, int, int]:
+    """A passage that runs on alike at both ends, where its chain came from elsewhere in the source."""
+    behind, before = _extend(x[:a][::-1], y[:s][::-1])
+    ahead, after = _extend(x[b:], y[t:])
+    size = max(b - a, t - s) + behind + ahead
+    if agreed + before + after < MIN_IDENTITY * size:
+        return a, b, s, t, agreed
+    return a - behind, b + ahead, s - behind, t + ahead, agreed + before + after
+
+
 PASSAGE = "doc_id long, start int, end int, source_id long, source_start int, source_end int, agreed int"
 
 
@@ -369,7 +380,7 @@ def shared_passages(docs: DataFrame) -> DataFrame:
 
 def remove_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """``docs`` with the words of their passages taken out of the text, and the white space before each word with it."""
-    cuts = passages.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("cuts"))
+    cuts = passages.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("cuts_"))
     schema, columns = docs.schema, docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -390,7 +401,7 @@ def remove_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
 
     ours = _one_text(docs)
     return ours.join(cuts.withColumnRenamed("doc_id", "cut_id_"), ours["own_"] & (F.col("doc_id").cast("long") == F.col("cut_id_")), "left").select(
-        *docs.columns, "cuts").mapInArrow(run, schema)
+        *docs.columns, "cuts_").mapInArrow(run, schema)
 
 
 @query("op8_substring")
