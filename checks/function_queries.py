@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from tallyboard.functions import scalars as s
 from tallyboard.functions.scores import active_score, auto_saves, saved_days
+from tallyboard.plans import usage
+from tallyboard.plans.rollups import activity_rollup
+from tallyboard.sources.buckets import Layout, read_bucketed, write_bucketed
+from tallyboard.sources.scratch import scratch_path
 
 from . import fixtures as fx
-from .metric_queries import M12_SQL, totals
+from .metric_queries import DAY, M12_SQL, product_sql, totals
 from .model_sql import with_model
 from .registry import query
 
@@ -141,11 +148,20 @@ def f18(spark, sf):
             .select("page_id", (F.col("pos") + 1).cast("bigint").alias("pos"), "col.piece", "col.n"))
 
 
-@query("F19_hash_buckets", "SELECT user_id, count(*) AS n FROM events GROUP BY user_id")
+def bucketed_workspace(spark, sf, buckets=16):
+    """Roll-up and bridge stored in buckets of the user, read back with the check of their layout."""
+    layout, root = Layout(buckets, ("user_id",)), scratch_path(spark, "buckets")
+    activity, bridge = (f"{name}_{uuid.uuid4().hex}" for name in ("activity", "user_dep"))
+    write_bucketed(activity_rollup(fx.events(spark, sf)), activity, f"{root}/activity", layout, by_day=True)
+    write_bucketed(fx.user_dep(spark, sf), bridge, f"{root}/user_dep", layout)
+    ws = fx.workspace(spark, sf, "user_dep")
+    return replace(ws, activity=read_bucketed(spark, activity, layout), user_dep=read_bucketed(spark, bridge, layout))
+
+
+@query("F19_hash_buckets", product_sql("department"))
 def f19(spark, sf):
-    """Bucket numbers are not observable; what is, is that bucketing keeps the rows."""
-    return (fx.table(spark, sf, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-            .repartition(16, "user_id"))
+    """Bucket numbers are not observable; what is, is that the department metric over bucketed tables has the same rows."""
+    return usage.usage(bucketed_workspace(spark, sf), usage.PRODUCT_BY_DEPARTMENT, DAY)
 
 
 @query("F20_month_arithmetic", """

@@ -363,11 +363,10 @@ def a16(spark, sf):
 
 # --- W: enumeration and versions ---------------------------------------------------------------
 def numbered(spark, sf):
-    """Position of every event of a day by time; hour blocks keep a task from sorting a whole day."""
+    """Position of every event of a day by time, over splitters sampled from the data."""
     raw = fx.table(spark, sf, "events").select(
         "event_id", "event_type", F.to_date("ts").alias("ldate"), F.col("ts").cast("timestamp_ntz").alias("ts"))
-    blocks = raw.withColumn("hour", F.hour("ts"))
-    return ranking.enumerate_rows(blocks, ["ldate"], [("hour", True)], [F.asc("ts"), F.asc("event_id")], "pos")
+    return ranking.enumerate_sorted(raw, ["ldate"], [F.asc("ts"), F.asc("event_id")], "pos")
 
 
 POS = "SELECT event_id, event_type, CAST(ts AS DATE) AS ldate, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts, event_id) AS pos FROM events"
@@ -378,6 +377,15 @@ def w1(spark, sf):
     return numbered(spark, sf).select("event_id", "ldate", "pos")
 
 
+@query("W1_hot_hour", """
+    SELECT event_id, row_number() OVER (ORDER BY CASE WHEN event_id % 10 = 0 THEN hour(ts) ELSE 12 END, event_id) AS pos FROM events""")
+def w1_hot(spark, sf):
+    """Nine of ten rows share one group and one sort key; blocks by value would be one task."""
+    raw = fx.table(spark, sf, "events").select(
+        "event_id", F.lit(1).alias("g"), F.when(F.col("event_id") % 10 == 0, F.hour("ts")).otherwise(12).alias("hour"))
+    return ranking.enumerate_sorted(raw, ["g"], [F.asc("hour"), F.asc("event_id")], "pos").select("event_id", "pos")
+
+
 @query("W2_enumerate_dense", f"""
     SELECT event_id, dense_rank() OVER (PARTITION BY ldate ORDER BY first) AS dense_rank FROM (
       SELECT *, min(pos) OVER (PARTITION BY ldate, event_type) AS first FROM ({POS}))""")

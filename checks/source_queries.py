@@ -14,6 +14,7 @@ from tallyboard.sources import readers, sinks
 from tallyboard.sources.scratch import scratch_path
 from tallyboard.sources.store import Store
 from tallyboard.streaming import cdc, events as stream
+from tallyboard.streaming.replica import Replica
 
 from . import fixtures as fx
 from .metric_queries import FILE_COUNTS, counts_sql
@@ -192,6 +193,25 @@ def k1_rejects(spark, sf):
     return events.unionByName(readers.rejects(messages).select(F.col("reason").alias("kind"))).groupBy("kind").agg(F.count(F.lit(1)).alias("messages"))
 
 
+def mixed_messages(rows):
+    """Three of five messages are events; one is no JSON, one has no time."""
+    e = F.col("event_id")
+    good = F.to_json(F.struct(F.col("event_type"), F.unix_millis(F.col("ts").cast("timestamp")).alias("time"), e.cast("string").alias("guid")))
+    return rows.select(F.when(e % 5 == 3, "not json").when(e % 5 == 4, '{"guid":"g"}').otherwise(good).alias("value"), e.alias("offset"))
+
+
+@query("K1_two_sinks", """SELECT CASE WHEN event_id % 5 IN (0, 1, 2) THEN 'event' WHEN event_id % 5 = 3 THEN 'not an object' ELSE 'no event time' END AS kind,
+    CASE WHEN event_id % 5 IN (0, 1, 2) THEN CAST(ts AS DATE) END AS ldate, count(*) AS messages FROM events GROUP BY ALL""")
+def k1_two_sinks(spark, sf):
+    """One stream into the event table and the table of rejects."""
+    root = scratch_path(spark, "two-sinks")
+    stream.ingest_messages(mixed_messages(raw_stream(spark, sf)), f"{root}/events", f"{root}/rejects", f"{root}/checkpoint",
+                           available_now=True).awaitTermination()
+    events = stream.read_events(spark, f"{root}/events").select(F.lit("event").alias("kind"), "ldate")
+    rejected = stream.read_rejects(spark, f"{root}/rejects").select(F.col("reason").alias("kind"), F.lit(None).cast("date").alias("ldate"))
+    return events.unionByName(rejected).groupBy("kind", "ldate").agg(F.count(F.lit(1)).alias("messages"))
+
+
 def change_messages(rows):
     """Inserts for all events, then an update of each third user and a delete of each fifth."""
     u, e = F.col("user_id"), F.col("event_id")
@@ -229,3 +249,20 @@ def k3(spark, sf):
     cdc.append_changes(changes, f"{root}/log", f"{root}/checkpoint", available_now=True).awaitTermination()
     cdc.compact(spark, [f"{root}/base-0", f"{root}/log"], f"{root}/base-1")
     return cdc.current([spark.read.parquet(f"{root}/base-1")])
+
+
+@query("K3_replica_lifecycle", f"""
+    SELECT coalesce(l.id, c.c_custkey) AS id, coalesce(l.name, c.c_name) AS name
+    FROM customer c FULL JOIN ({LATEST_CHANGES}) l ON l.id = c.c_custkey WHERE NOT coalesce(gone, false)""")
+def k3_lifecycle(spark, sf):
+    """Full copy, a stream of changes, a fold, a second stream on top of it, another fold, old versions trimmed."""
+    root = scratch_path(spark, "versions")
+    table = Replica(spark, root)
+    table.load(fx.table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")), ts=-1)
+    for half in (1, 0):  # the later half of each pair of events first: versions decide, not arrival
+        rows = raw_stream(spark, sf).filter(F.col("event_id") % 2 == half)
+        table.append(cdc.changes(change_messages(rows), "app", "member"), f"{root}/checkpoint-{half}", stream=f"half-{half}",
+                     available_now=True).awaitTermination()
+        table.fold()
+    table.trim(keep=0)
+    return table.state()

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import cut_lineage
+
 
 def top_n(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int,
           rank_col: str = "row_number") -> DataFrame:
@@ -57,22 +59,43 @@ def _no_null(name: str, kind: str) -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))
 
 
-_BLOCK = 1 << 17  # positions per block when a group is cut by position
+def enumerate_sorted(df: DataFrame, group: Sequence[str], order: Sequence[Column], pos_col: str = "row_number",
+                     partitions: int | None = None) -> DataFrame:
+    """1-based position of every row within its group, whatever its groups and sort keys look like.
+
+    The rows are range-partitioned by (group, order, arrival) at splitters that Spark samples from the data, so
+    tasks get equal shares even where one group, hour or value holds nearly all rows. Each row notes its place in
+    its partition; the rows that a group has in earlier partitions, one number per group and partition, are
+    added. Rows equal in ``order`` are numbered as they come.
+    """
+    kinds = dict(df.dtypes)
+    keyed = df.withColumns({f"_k{i}": _no_null(k, kinds[k]) for i, k in enumerate(group)}
+                           | {f"_n{i}": F.col(k).isNull() for i, k in enumerate(group)})
+    of_group = [f"_{x}{i}" for i in range(len(group)) for x in "kn"]
+    keyed = keyed.withColumn("_run_arrival", F.monotonically_increasing_id())
+    by = [*of_group, *order, "_run_arrival"]
+    ranged = keyed.repartitionByRange(partitions, *by) if partitions else keyed.repartitionByRange(*by)
+    placed = cut_lineage(ranged.sortWithinPartitions(*by).drop("_run_arrival").withColumn("_run_at", F.monotonically_increasing_id())
+                         .withColumn("_run_part", F.shiftright("_run_at", 33)))
+    runs = placed.groupBy("_run_part", *of_group).agg(F.min("_run_at").alias("_run_start"), F.count(F.lit(1)).alias("_run_rows"))
+    earlier = Window.partitionBy(*of_group).orderBy("_run_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("_run_before", F.coalesce(F.sum("_run_rows").over(earlier), F.lit(0))).drop("_run_rows")
+    return (placed.join(runs, ["_run_part", *of_group])
+            .withColumn(pos_col, (F.col("_run_at") - F.col("_run_start") + F.col("_run_before") + 1).cast("bigint"))
+            .select(*[c for c in df.columns if c != pos_col], pos_col))
 
 
 def enumerate_uniq(df: DataFrame, group: Sequence[str], value: str, pos: str,
                    out: str = "uniq_rank") -> DataFrame:
     """Running occurrence number of equal values, in position order."""
-    cut = df.withColumn("_block", F.floor(F.col(pos) / _BLOCK))
-    return enumerate_rows(cut, [*group, value], [("_block", True)], [F.asc(pos)], out).drop("_block")
+    return enumerate_sorted(df, [*group, value], [F.asc(pos)], out)
 
 
 def enumerate_dense(df: DataFrame, group: Sequence[str], value: str, pos: str,
                     out: str = "dense_rank") -> DataFrame:
     """Index of each value by order of first appearance (not SQL ``dense_rank``)."""
-    first = (df.groupBy(*group, value).agg(F.min(pos).alias("_first"))
-             .withColumn("_block", F.floor(F.col("_first") / _BLOCK)))
-    ranked = enumerate_rows(first, group, [("_block", True)], [F.asc("_first")], out)
+    first = df.groupBy(*group, value).agg(F.min(pos).alias("_first"))
+    ranked = enumerate_sorted(first, group, [F.asc("_first")], out)
     keys = [*group, value]
     ranked = ranked.select(*[F.col(k).alias(f"_v{i}") for i, k in enumerate(keys)], out)
     same = F.lit(True)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.scalars import UTC, epoch_millis_to_date
+from ..sources.readers import accepted, decode_events, rejects
 
 
 def with_day(events: DataFrame, zone: str = UTC) -> DataFrame:
@@ -25,3 +26,37 @@ def ingest(events: DataFrame, path: str, checkpoint: str, *, zone: str = UTC,
               .option("path", path).option("checkpointLocation", checkpoint).outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
+
+
+def ingest_messages(messages: DataFrame, events_path: str, rejects_path: str, checkpoint: str, *, zone: str = UTC,
+                    schema_id: int | None = None, avro_schema: str | None = None, available_now: bool = False,
+                    interval: str = "1 minute") -> StreamingQuery:
+    """Raw messages to two tables: events, and rejects with the reason; each message ends in exactly one, once.
+
+    A micro-batch writes the folders of its own number (``ldate=<day>/batch=<id>`` and ``batch=<id>``). A batch
+    that broke between its two writes, or inside one, is run again from the same offsets and overwrites them,
+    so nothing is lost or counted twice. An event without a day cannot get into the event table.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # no larger than a trigger's share of the source; spills to disk
+        try:
+            good = with_day(decode_events(accepted(batch, schema_id), avro_schema), zone).withColumn("batch", F.lit(batch_id))
+            (good.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("ldate", "batch").parquet(events_path))
+            rejects(batch, schema_id).write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    writer = messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
+    return writer.start()
+
+
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    """The event table that ``ingest_messages`` writes; filters on ``ldate`` read the folders of these days only."""
+    df = spark.read.parquet(path)
+    return df.select(F.col("ldate").cast("date").alias("ldate"), *[c for c in df.columns if c not in ("ldate", "batch")])
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("batch")

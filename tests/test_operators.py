@@ -37,7 +37,8 @@ def test_enumerate_rows_equals_brute_force(spark):
 
 
 def test_dense_and_uniq_follow_first_appearance(spark, monkeypatch):
-    monkeypatch.setattr(ranking, "_BLOCK", 7)  # many blocks, to cross their borders
+    whole = ranking.enumerate_sorted
+    monkeypatch.setattr(ranking, "enumerate_sorted", lambda *a: whole(*a, partitions=40))  # many partitions, to cross their borders
     rows, df = grouped(spark)
     pos, groups = positions(rows)
     dense, uniq = {}, {}

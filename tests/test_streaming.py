@@ -6,11 +6,11 @@ from helpers import as_set
 from tallyboard.sources.readers import decode_events
 from tallyboard.streaming import cdc, events
 
-MESSAGE = {"database": "test", "table": "student", "type": "insert", "ts": 1608724736, "xid": 20090, "xoffset": 0,
-           "data": {"id": 1, "name": "a1"}}
+MESSAGE = {"database": "shop", "table": "staff", "type": "insert", "ts": 1700000000, "xid": 7, "xoffset": 0,
+           "data": {"id": 1, "name": "ann"}}
 
 
-def change(kind, ident, name, ts, xoffset=0, table="student"):
+def change(kind, ident, name, ts, xoffset=0, table="staff"):
     return MESSAGE | {"type": kind, "ts": ts, "xoffset": xoffset, "table": table, "data": {"id": ident, "name": name}}
 
 
@@ -52,19 +52,19 @@ def messages(spark, rows):
 
 
 def test_sample_message(spark):
-    got = cdc.changes(messages(spark, [MESSAGE]), "test", "student").collect()
-    assert [tuple(r) for r in got] == [(1, "a1", 0, 1608724736, 20090, 0)]
+    got = cdc.changes(messages(spark, [MESSAGE]), "shop", "staff").collect()
+    assert [tuple(r) for r in got] == [(1, "ann", 0, 1700000000, 7, 0)]
 
 
 def test_insert_delete_update(spark):
     log = cdc.changes(messages(spark, [
         change("insert", 1, "1", 1), change("insert", 2, "2", 1), change("delete", 1, "1", 2),
-        change("update", 2, "3", 3), change("insert", 9, "x", 9, table="other")]), "test", "student")
+        change("update", 2, "3", 3), change("insert", 9, "x", 9, table="other")]), "shop", "staff")
     assert as_set(cdc.current([log]), "id", "name") == {(2, "3")}
 
 
 def test_order_within_a_second(spark):
-    log = cdc.changes(messages(spark, [change("update", 1, "new", 5, 2), change("update", 1, "old", 5, 1)]), "test", "student")
+    log = cdc.changes(messages(spark, [change("update", 1, "new", 5, 2), change("update", 1, "old", 5, 1)]), "shop", "staff")
     assert as_set(cdc.current([log]), "name") == {("new",)}
 
 
@@ -74,7 +74,7 @@ def test_snapshot_log_and_compaction(spark, tmp_path):
     cdc.initial_load(base).write.parquet(str(tmp_path / "base0"))
 
     def run():
-        stream = cdc.changes(text_stream(spark, src), "test", "student")
+        stream = cdc.changes(text_stream(spark, src), "shop", "staff")
         cdc.append_changes(stream, log, ck, available_now=True).awaitTermination()
 
     drop(src, 1, [change("update", 2, "TWO", 10), change("delete", 3, "three", 11)])
