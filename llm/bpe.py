@@ -1,15 +1,16 @@
 """BPE encoding and decoding over a prefix-sharing trie.
 
-The distinct words of each block of documents go into a trie. A depth-first walk gives every node
-its state: the last token of the encoding of the prefix that ends there. A prefix has exactly one
+The distinct words of each block of documents go into a trie, which a worker keeps between blocks. The way down to
+a word carries the states of the nodes on it, and every node that is new gets its own:
+the last token of the encoding of the prefix that ends there. A prefix has exactly one
 such token: the suffix of it that is in the vocabulary and may stand behind the state of the node
-where the suffix begins. So each shared prefix is encoded once, whatever hangs below it, and a
-word's tokens are read by going back from its leaf. The last symbol of a word carries the word-end
-mark, hence leaves are edges of their own.
+where the suffix begins; a second trie, of the vocabulary read backwards, lists these suffixes. So each shared prefix
+is encoded once, whatever hangs below it, and a word's tokens are read by going back from its leaf. The last symbol
+of a word carries the word-end mark, hence leaves are no nodes.
 
 Texts are encoded whole and where they lie: no shuffle, and a lost task is simply run again.
 NULL and empty texts have no tokens. Repeated rows give repeated results. Other columns of the
-input are passed on only if asked for with ``keep``.
+input are ignored.
 """
 
 from __future__ import annotations
@@ -30,9 +31,9 @@ WHITE = regex.compile(r"[\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\
 #: What ``str.split()`` takes for white space besides.
 SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 BLOCK_ROWS = 256
-MEMO_CHUNKS = 200_000
-MEMO_PIECES = 200_000
-MEMO_PREFIXES = 400_000
+MEMO_CHUNKS = 300_000
+MEMO_PIECES = 300_000
+MEMO_PREFIXES = 300_000
 
 
 class TrieEncoder:
@@ -49,12 +50,21 @@ class TrieEncoder:
             if made not in self.parts:
                 self.rank[made], self.parts[made] = rank, pair
         self.symbols = {i: len(t.removesuffix(word_end)) if word_end else len(t) for t, i in vocab.items()}
-        self.longest = max(self.symbols.values())
         self.text = {i: t for t, i in vocab.items()}
         self.fits: dict[tuple[int, int], bool] = {}
-        self.known: dict[str, int] = {}  # states of prefixes met in earlier blocks
+        self.root: dict = {}  # symbol -> node; a node's state is under None
+        self.nodes = 0
         self.reached: dict[int, bool] = {}
-        self.usable = {t: i for t, i in vocab.items() if self._reachable(i)}
+        # the usable tokens from their last symbol on, those with the word-end mark apart; a token is under None
+        self.inner: dict = {}
+        self.final: dict = {} if word_end else self.inner
+        for token, i in vocab.items():
+            if self._reachable(i):
+                whole = bool(word_end) and token.endswith(word_end)
+                node = self.final if whole else self.inner
+                for symbol in reversed(token.removesuffix(word_end) if whole else token):
+                    node = node.setdefault(symbol, {})
+                node[None] = i
 
     def _reachable(self, token: int) -> bool:
         """Whether merging the token's own symbols ends in the token."""
@@ -84,64 +94,54 @@ class TrieEncoder:
             else:  # of equal ranks the left one is made first, and so may the crossing one be
                 limit, right = b + 1, parts[right][0]
 
-    def _last(self, s: str, mark: str, states: list[int]) -> int:
-        """The last token of ``s`` (+ mark), given the states of all shorter prefixes."""
-        usable, fits, end = self.usable, self.fits, len(s)
-        for start in range(max(0, end - self.longest), end):
-            token = usable.get(s[start:] + mark)
-            if token is not None:
-                if start == 0:
-                    return token
-                pair = (states[start], token)
-                ok = fits.get(pair)
-                if ok is None:
-                    ok = fits[pair] = self._apart(*pair)
-                if ok:
-                    return token
-        raise ValueError(f"no token ends {s!r}")
+    def _last(self, word: str, end: int, suffixes: dict, states: list[int]) -> int:
+        """The last token of the first ``end`` symbols, given the states of all shorter prefixes: the longest that fits."""
+        found, start, node = [], end, suffixes
+        while start:
+            start -= 1
+            node = node.get(word[start])
+            if node is None:
+                break
+            if None in node:
+                found.append((start, node[None]))
+        fits = self.fits
+        for start, token in reversed(found):
+            if start == 0:
+                return token
+            pair = (states[start], token)
+            ok = fits.get(pair)
+            if ok is None:
+                ok = fits[pair] = self._apart(*pair)
+            if ok:
+                return token
+        raise ValueError(f"no token ends {word[:end]!r}")
 
     def encode(self, words: Iterable[str]) -> dict[str, list[int]]:
         """Token ids of each distinct word (none of them empty)."""
-        root: dict = {}
-        for word in words:
-            node = root
-            for c in word[:-1]:
-                below = node.get(c)
-                if below is None:
-                    below = node[c] = {}
-                node = below
-            node[word[-1] + "\0"] = word
-        known = self.known
-        if len(known) > MEMO_PREFIXES:
-            known.clear()
+        if self.nodes > MEMO_PREFIXES:
+            self.root, self.nodes = {}, 0
         if len(self.fits) > MEMO_PREFIXES:
             self.fits.clear()
+        root, inner, final, symbols, last = self.root, self.inner, self.final, self.symbols, self._last
         out: dict[str, list[int]] = {}
-        symbols, states = self.symbols, [-1]
-        stack = [("", iter(root.items()))]
-        while stack:
-            prefix, children = stack[-1]
-            for edge, below in children:
-                if len(edge) > 1:
-                    token, end, ids = self._last(below, self.word_end, states), len(below), []
-                    while True:
-                        ids.append(token)
-                        end -= symbols[token]
-                        if end == 0:
-                            break
-                        token = states[end]
-                    out[below] = ids[::-1]
-                else:
-                    longer = prefix + edge
-                    state = known.get(longer)
-                    if state is None:
-                        state = known[longer] = self._last(longer, "", states)
-                    states.append(state)
-                    stack.append((longer, iter(below.items())))
+        for word in words:
+            node, states, end = root, [-1], len(word)
+            for depth in range(1, end):
+                below = node.get(word[depth - 1])
+                if below is None:
+                    below = node[word[depth - 1]] = {None: last(word, depth, inner, states)}
+                    self.nodes += 1
+                node = below
+                states.append(node[None])
+            token, ids = last(word, end, final, states), []
+            while True:
+                ids.append(token)
+                end -= symbols[token]
+                if end == 0:
                     break
-            else:
-                stack.pop()
-                states.pop()
+                token = states[end]
+            ids.reverse()
+            out[word] = ids
         return out
 
 
@@ -172,7 +172,7 @@ class TextEncoder:
         self.memo = Memo(lambda chunk: self._entries([chunk])[chunk], MEMO_CHUNKS)
         self.words = Memo(lambda word: self._entry(self.trie.encode([word])[word]), MEMO_PIECES)
         pattern = next((p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"), None)
-        self.latin = regex.compile(pattern).findall if pattern and tokenizer.normalizer else None
+        self.latin = regex.compile(pattern).findall if pattern and r"\p{L}]+" in pattern and tokenizer.normalizer else None
         self.letters = str.maketrans(byte_letters())
 
     def _entry(self, ids: list[int]) -> tuple[int, str, str]:
@@ -181,6 +181,12 @@ class TextEncoder:
     def _pieces(self, chunk: str) -> list[str]:
         """The words of a chunk over the byte alphabet. Latin text needs no help from the library."""
         if self.latin and (chunk.isascii() or max(chunk) < "\u0250"):
+            if chunk.isascii():  # most chunks are a word, or one with a mark behind it
+                low = chunk.lower()
+                if low.isalpha():
+                    return [low]
+                if low[-1] in ".,;:!?" and low[:-1].isalpha():
+                    return [low[:-1], low[-1]]
             pieces = self.latin(chunk.lower())
             return pieces if chunk.isascii() and chunk.isprintable() else [p.encode().decode("latin-1").translate(self.letters) for p in pieces]
         return [p for p, _ in self.pieces(self.normalize(chunk)) if p]
