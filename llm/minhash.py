@@ -32,7 +32,7 @@ BANDS, ROWS = 26, 5
 PERCENT = 80
 #: Hubs of each bucket in the first and in the second round of stars.
 STARS = (1, 4)
-MEMO_WORDS = 300_000
+MEMO_WORDS = 150_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -42,6 +42,7 @@ GAP_COST = 0.1
 LEAST_SPAN = MIN_WORDS - 2 * (WINDOW - 1)
 DROP = 6
 BLOCK_WORDS, MARGIN = 64, 64
+BLOCK_ROWS = 256
 BITMAP_BITS = 1 << 24
 KEY = ["doc", "source", "p0", "c0"]
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -80,8 +81,8 @@ def _seeds(docs: DataFrame) -> DataFrame:
     """(seed, doc, pos, first): where seeds stand, and where the document has them first. Long seeds are odd numbers, short ones even."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
+            for at in range(0, whole.num_rows, BLOCK_ROWS):
+                batch = whole.slice(at, BLOCK_ROWS)
                 seed, doc, pos, first = [], [], [], []
                 for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                     words = word_hashes(text.as_py())

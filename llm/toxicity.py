@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.registry import Memo, query, table, text_or_empty
+from llm.registry import Memo, query, stored, table, text_or_empty
 
 PER_LABEL = 2000
 TRAIN_BYTES = 10_000
@@ -127,12 +127,19 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list
     usable = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     usable = usable.select(F.col("doc_id").alias("labelled_"), F.col("toxic").alias("toxic_")).distinct()
     size = F.octet_length("text")
+    there = docs.filter(size > 0).select("doc_id", (size > TRAIN_BYTES).alias("long_"))  # no texts are shuffled
+    found = there.join(usable, F.col("doc_id") == F.col("labelled_")).select("labelled_", "toxic_", "long_", F.xxhash64("doc_id").alias("order_"))
+    chosen = None
+    for value in (0, 1):
+        part = found.filter(F.col("toxic_") == value).orderBy("long_", "order_", "labelled_").limit(PER_LABEL)
+        chosen = part if chosen is None else chosen.unionByName(part)
+    chosen = stored(chosen.distinct(), "sample")  # at most 2 * PER_LABEL rows
     step = F.ceil(size / F.lit(TRAIN_BYTES))
     thin = F.array_join(F.filter(F.split("text", r"\s+"), lambda word, i: F.floor(i / WINDOW) % step == 0), " ")
-    texts = docs.filter(size > 0).select("doc_id", F.when(step > 1, thin).otherwise(F.col("text")).alias("text_"), (step > 1).alias("long_"))
-    found = texts.join(usable, F.col("doc_id") == F.col("labelled_")).select("text_", "toxic_", "long_", F.xxhash64("doc_id").alias("order_"))
-    chosen = [found.filter(F.col("toxic_") == value).orderBy("long_", "order_", "text_").limit(PER_LABEL).select("text_", "toxic_").toArrow() for value in (0, 1)]
-    return [t for part in chosen for t in part.column(0).to_pylist()], [v for part in chosen for v in part.column(1).to_pylist()]
+    text = F.when(step > 1, thin).otherwise(F.col("text")).alias("text_")
+    own = docs.filter(size > 0).join(F.broadcast(chosen), (F.col("doc_id") == F.col("labelled_")) & ((size > TRAIN_BYTES) == F.col("long_")))
+    rows = own.select(text, "toxic_", "order_").orderBy("order_", "toxic_", "text_").limit(2 * PER_LABEL).select("text_", "toxic_").toArrow()
+    return rows.column(0).to_pylist(), rows.column(1).to_pylist()
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
