@@ -21,16 +21,18 @@ SHINGLE_WORDS = 5
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``row_``, a number of each row: its doc_id, or one above all ids where that is NULL or repeated."""
+    """``docs`` with ``row_``, a number of each row: its doc_id for one row of each id, one above all ids for the others."""
     counts = docs.groupBy("doc_id").count()
     several = stored(counts.filter("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("twice_")), "repeated")
     if several.isEmpty() and docs.filter("doc_id IS NULL").isEmpty():
         return docs.withColumn("row_", F.col("doc_id"))
     above = docs.agg(F.coalesce(F.max("doc_id"), F.lit(-1))).first()[0] + 1
-    marked = docs.join(several, F.col("doc_id") == F.col("twice_"), "left")
-    own = F.col("twice_").isNull() & F.col("doc_id").isNotNull()
     # stored, so that every use of it sees the same numbers
-    return stored(marked.withColumn("row_", F.when(own, F.col("doc_id")).otherwise(above + F.monotonically_increasing_id())).drop("twice_"), "numbered")
+    marked = stored(docs.join(several, F.col("doc_id") == F.col("twice_"), "left").withColumn("place_", F.monotonically_increasing_id()), "numbered")
+    firsts = stored(marked.filter("twice_ IS NOT NULL").groupBy("twice_").agg(F.min("place_").alias("first_")).select("first_"), "firsts")
+    own = F.col("doc_id").isNotNull() & (F.col("twice_").isNull() | F.col("first_").isNotNull())
+    return marked.join(firsts, F.col("place_") == F.col("first_"), "left").withColumn(
+        "row_", F.when(own, F.col("doc_id")).otherwise(above + F.col("place_"))).drop("twice_", "place_", "first_")
 
 
 def _only(rows: DataFrame, verdicts: DataFrame) -> DataFrame:
