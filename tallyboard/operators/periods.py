@@ -74,3 +74,14 @@ def running_total(deltas: DataFrame, keys: Sequence[str], sums: Sequence[str], e
     totals = [F.expr(f"sum(coalesce(`{c}`, 0))").over(so_far).alias(c) for c in sums]
     steps = deltas.select("ldate", *keys, *totals, last.alias("_last"))
     return steps.select(F.explode(F.sequence("ldate", "_last")).alias("ldate"), *keys, *sums)
+
+
+def earlier_values(daily: DataFrame, keys: Sequence[str], values: Sequence[str], days: int, prefix: str) -> DataFrame:
+    """``daily`` plus ``prefix`` + value: the key's value exactly ``days`` earlier, NULL where it has no row then.
+
+    One shuffle and a range frame of a single day, not a self-join. Days may be missing; of several
+    rows of a key on the earlier day the greatest value is taken. A row without ``ldate`` has no earlier one.
+    """
+    then = Window.partitionBy(*keys).orderBy(F.unix_date("ldate")).rangeBetween(-days, -days)
+    return daily.select("*", *[F.when(F.col("ldate").isNotNull(), F.max(v).over(then)).alias(f"{prefix}{v}")
+                               for v in values])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import predicates as p
 from ..functions.scalars import change, first_day_at_or_after, share, zero_if_null
 from ..operators.aggregates import sums as sums_of
-from ..operators.periods import Span, running_total
+from ..operators.periods import Span, earlier_values, running_total
 from ..schemas import PRODUCTS, RESULTS, TOTAL_COUNTS, conform
 from .model import Workspace, user_teams
 from .rollups import user_active_days, user_counts
@@ -67,20 +67,15 @@ def seats_and_activity(ws: Workspace, span: Span, strict: bool = False) -> DataF
                    zero_if_null(F.col("deep_active_uv")).alias("deep_active_uv")))
 
     values = ("activated_seats", "active_uv", "deep_active_uv")
-    before = None if span.end - span.start < dt.timedelta(WINDOW_DAYS) else now
     stored = _earlier(ws, USERS_TABLE, span.start - dt.timedelta(WINDOW_DAYS),
                       min(span.start - dt.timedelta(1), span.end - dt.timedelta(WINDOW_DAYS)), strict)
+    both = now.withColumn("_now", F.lit(True))
     if stored is not None:
-        stored = stored.select("ldate", F.col("team_id").cast("bigint").alias("team_id"), *values)
-        before = stored if before is None else stored.unionByName(before.select(*stored.columns))
-    if before is None:
-        out = now.select("*", *[F.lit(0).cast("bigint").alias(f"before_7d_{v}") for v in values])
-    else:
-        before = before.select(F.date_add("ldate", WINDOW_DAYS).alias("ldate"), "team_id",
-                               *[F.col(v).alias(f"before_7d_{v}") for v in values])
-        out = (now.join(before, ["ldate", "team_id"], "left")
-               .select(*now.columns, *[zero_if_null(F.col(f"before_7d_{v}")).alias(f"before_7d_{v}")
-                                       for v in values]))
+        both = both.unionByName(
+            stored.select("ldate", F.col("team_id").cast("bigint").alias("team_id"), *values,
+                          F.lit(False).alias("_now")), allowMissingColumns=True)
+    out = (earlier_values(both, ["team_id"], values, WINDOW_DAYS, "before_7d_").filter("_now")
+           .select(*now.columns, *[zero_if_null(F.col(f"before_7d_{v}")).alias(f"before_7d_{v}") for v in values]))
     out = out.select(
         "*", *[change(F.col(v), F.col(f"before_7d_{v}")).alias(f"{v}_change_ratio") for v in values],
         share(F.col("activated_seats"), F.col("member_count")).alias("activated_seats_ratio"),

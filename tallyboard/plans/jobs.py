@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.masks import MASK_DAYS, advance
 from ..operators.periods import Span
 from ..sources.store import Store
 from . import enterprise, rankings, usage
@@ -42,6 +43,7 @@ JOBS: dict[str, Job] = {
 
 ACTIVITY, TOUCHES = "daily_user_activity", "daily_file_touches"
 SPACE_STATE = "daily_space_state"
+MASK_STATE = "daily_active_masks"
 FROM_TOUCHES = (rankings.HOT_1D, rankings.HOT_7D, rankings.SPACES)
 
 
@@ -87,6 +89,9 @@ class Backfill:
     ``carry_spaces`` keeps the last act per space from run to run, so that the list of updated
     spaces reads the days of the span instead of all history. A state that late rows have made
     stale is folded anew.
+
+    ``carry_masks`` keeps each user's active days of the last 30 as one integer per day, so that
+    active users over any such window take one day's events and the masks of the day before.
     """
 
     ws: Workspace
@@ -94,6 +99,7 @@ class Backfill:
     bulk: bool = True
     refresh: bool = False
     carry_spaces: bool = False
+    carry_masks: bool = False
     catch_up: bool = False
     serve: Callable[[str, dt.date, DataFrame], None] | None = None
 
@@ -104,13 +110,15 @@ class Backfill:
         if unknown:
             raise KeyError(f"unknown tasks: {unknown}")
         wanted = [t for t in JOBS if tasks is None or t in tasks]
-        days = max(lookback + 1, *(WINDOW_DAYS.get(t, WIDEST) for t in wanted))
+        days = max(lookback + 1, MASK_DAYS if self.carry_masks else 1, *(WINDOW_DAYS.get(t, WIDEST) for t in wanted))
         ws, redone = self.with_rollups(span, days, any(t in FROM_TOUCHES for t in wanted), rankings.SPACES in wanted)
         if self.catch_up:
             reported = [d for t in wanted for d in self.store.days(t) if d < span.start and redone and d >= min(redone)]
             if reported:
                 span = Span(min(reported), span.end)
                 ws, _ = self.with_rollups(span, days, any(t in FROM_TOUCHES for t in wanted), rankings.SPACES in wanted)
+        if self.carry_masks and enterprise.USERS_TABLE in wanted:
+            ws = self.with_masks(ws, span)
         carry = self.carry_spaces and rankings.SPACES in wanted
         for part in ([span] if self.bulk else [Span.of(d) for d in span.dates()]):
             if carry:
@@ -151,11 +159,32 @@ class Backfill:
             return []
         rows = rollup(events.filter(F.col("ldate").isin(stale)))
         store.write_listed(rows, table, stale)
+        if table == ACTIVITY:
+            for d in store.days(MASK_STATE):
+                if any(s <= d and s in known for s in stale):
+                    store.drop_day(MASK_STATE, d)
         known, before = known | {d: found.get(d, 0) for d in stale}, set(known)
         # the ledger is written after the days it speaks of: a run that stops in between does them again
         store.replace(store.spark.createDataFrame(sorted(known.items()), "ldate date, events long").coalesce(1), table + LEDGER)
         return [d for d in stale if d in before]
 
+    def with_masks(self, ws: Workspace, span: Span) -> Workspace:
+        """Masks of every date of the span, each from the date before it and the days in between.
+
+        The first one follows from the latest stored date before the span, over whatever gap; without one it is
+        made from the roll-up. Masks that late rows made stale were dropped with the roll-up (``_roll_up``).
+        """
+        store = self.store
+        earlier = max((d for d in store.days(MASK_STATE) if d < span.start), default=None)
+        for d in span.dates():
+            state = store.read_day(MASK_STATE, earlier) if earlier else None
+            store.write_day(advance(ws.activity, ["user_id"], d, state, earlier), MASK_STATE, d)
+            earlier = d
+        for d in store.days(MASK_STATE):
+            if d < span.start - dt.timedelta(1):
+                store.drop_day(MASK_STATE, d)
+        return ws.with_(masks=store.read(MASK_STATE))
+
     def with_spaces(self, ws: Workspace, span: Span, redone: Sequence[dt.date] = ()) -> Workspace:
         """State of the day before the span (folded from all history on the first run, and when a day up
         to it was rolled up again), and the state of its last day for the run that follows. Older states go."""

@@ -21,6 +21,7 @@ class Workspace:
 
     ``activity`` / ``touches``: daily roll-ups (see ``rollups``) read in place of events.
     ``spaces``: last act per user and space as of some dates (see ``rankings.space_state``).
+    ``masks``: active days per user as of every report date (see ``operators.masks``).
     ``snapshot``: earlier rows of a result table, for jobs that look back at themselves.
     ``zone``: zone that defines displayed event times.
     """
@@ -34,6 +35,7 @@ class Workspace:
     activity: DataFrame | None = None
     touches: DataFrame | None = None
     spaces: DataFrame | None = None
+    masks: DataFrame | None = None
     snapshot: Snapshot = field(default=_no_snapshot)
     zone: str = "UTC"
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import joined_text
-from ..operators.closure import ancestors
+from ..operators.closure import ancestors, maintain
 from ..operators.joins import salted_inner_join
 from ..sources.scratch import cut_lineage
 
@@ -45,6 +45,41 @@ def user_departments(edges: DataFrame, include_links: bool = True, max_depth: in
                     F.col("anc.id").cast("string").alias("department_id")).distinct())
 
 
+def bridge_closure(edges: DataFrame, include_links: bool = True) -> DataFrame:
+    """The closure ``update_user_departments`` maintains: departments users hang on, with all above them."""
+    graph = org_edges(edges, include_links)
+    is_user = F.col("node.type") == USER
+    return ancestors(graph.filter(is_user).select(F.col("parent").alias("node")), graph.filter(~is_user))
+
+
+def update_user_departments(bridge: DataFrame, closure: DataFrame, old_edges: DataFrame, new_edges: DataFrame,
+                            include_links: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``user_dep`` and its closure after a change of edges; both equal a full rebuild.
+
+    The closure is maintained by delete and rederive. Rows are made anew for users whose own edges changed
+    or who hang on a department with changed pairs; the rows of all others are kept.
+    """
+    old, new = org_edges(old_edges, include_links), org_edges(new_edges, include_links)
+    is_user = F.col("node.type") == USER
+
+    def direct(graph: DataFrame) -> DataFrame:
+        return cut_lineage(graph.filter(is_user).select(
+            F.col("node.id").alias("user"), F.col("parent").alias("seed")).distinct())
+
+    before, now = direct(old), direct(new)
+    change = maintain(closure, now.select(F.col("seed").alias("node")), old.filter(~is_user), new.filter(~is_user))
+    pairs = cut_lineage(change.pairs)
+    moved = (before.join(now, ["user", "seed"], "left_anti")
+             .unionByName(now.join(before, ["user", "seed"], "left_anti")).select("user"))
+    turned = change.removed.select("seed").unionByName(change.added.select("seed")).distinct()
+    affected = cut_lineage(moved.unionByName(now.join(turned, "seed", "left_semi").select("user")).distinct())
+    remade = (salted_inner_join(now.join(affected, "user", "left_semi"), pairs, ["seed"], spread_by=F.col("user"))
+              .select(F.col("user").cast("string").alias("user_id"),
+                      F.col("anc.id").cast("string").alias("department_id")).distinct())
+    same = bridge.join(affected.select(F.col("user").cast("string").alias("user_id")), "user_id", "left_anti")
+    return same.select("user_id", "department_id").unionByName(remade), pairs
+
+
 def department_lists(user_dep: DataFrame) -> DataFrame:
     """Departments of each user as one comma list."""
     return joined_text(user_dep, ["user_id"], "department_id", "deps")

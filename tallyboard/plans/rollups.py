@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import predicates as p
+from ..operators.masks import MASK_DAYS, days_active
 from ..operators.periods import Span
 from ..schemas import PRODUCTS
 from .model import Workspace
@@ -125,7 +126,14 @@ def user_counts(ws: Workspace, rows: str, counters: Sequence[str], span: Span, d
 
 
 def user_active_days(ws: Workspace, span: Span, days: int) -> DataFrame:
-    """Per (report date, user): on how many days of the window the user did anything."""
+    """Per (report date, user): on how many days of the window the user did anything.
+
+    With ``ws.masks`` one row per report date and user is read, whatever the window.
+    """
+    if ws.masks is not None and days <= MASK_DAYS:
+        return (ws.masks.filter(span.covers())
+                .select("ldate", "user_id", days_active(days).cast("bigint").alias("active_days"))
+                .filter("active_days > 0"))
     source = ws.activity if ws.activity is not None else ws.events
     seen = (source.filter(span.covers(days)).select("ldate", "user_id").distinct()
             .withColumn("active_days", F.lit(1)))
