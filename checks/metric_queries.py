@@ -174,6 +174,16 @@ def m11(spark, sf):
     return enterprise.seats_and_activity(ws.with_(snapshot=lambda t: before), DAY, strict=False)
 
 
+@query("M11_from_masks", with_model(M11_BODY, seats_now=SEATS_NOW, seats_before=SEATS_BEFORE))
+def m11_masks(spark, sf):
+    """The daily run of a store that keeps active-day masks, after a run a week before."""
+    store = Store(spark, scratch_path(spark, "masks"))
+    run = jobs.Backfill(fx.workspace(spark, sf, "membership"), store, carry_masks=True)
+    for d in ("2024-01-08", fx.DATE):
+        run.run(d, tasks=[enterprise.USERS_TABLE])
+    return store.read_day(enterprise.USERS_TABLE, fx.DATE)
+
+
 TD_COUNTS = (
     "count(CASE WHEN action_name = 'create_obj' AND file_type IN (2, 3) THEN guid END) AS create_objs, "
     + ", ".join(

@@ -12,10 +12,13 @@ from tallyboard.operators import aggregates as agg
 from tallyboard.operators import ranking
 from tallyboard.operators.closure import ancestors
 from tallyboard.operators.joins import full_merge_sum, prefer, salted_inner_join
-from tallyboard.operators.periods import Span, running_total
+from tallyboard.operators.masks import advance, days_active
+from tallyboard.operators.periods import Span, earlier_values, running_total
 from tallyboard.operators.versions import latest_by_key, live_rows
-from tallyboard.plans import enterprise, files, org, quality, reports, usage
+from tallyboard.plans import enterprise, files, org, quality, reach, reports, usage
 from tallyboard.plans.model import enrich_events, user_teams
+from tallyboard.sources.scratch import cut_lineage, scratch_path
+from tallyboard.sources.store import Store
 
 from . import fixtures as fx
 from .metric_queries import (COLLAB_COUNTS, COLLAB_ROWS, D, FILE_COUNTS, FILE_ROWS, H1_FULL, M12_SQL, ORG_VIEW,
@@ -205,6 +208,20 @@ def j13(spark, sf):
     return fx.user_dep(spark, sf).groupBy("department_id").agg(F.count(F.lit(1)).alias("users"))
 
 
+@query("J13_maintained_closure", with_model("SELECT user_id, department_id FROM ud"))
+def j13_maintained(spark, sf):
+    """Yesterday's bridge, from a graph with other edges, brought up to today's edges."""
+    now = fx.edges(spark, sf)
+    is_user, n = F.col("node_type") == org.USER, F.col("node_id")
+    moved = F.when(is_user & (n % 4 == 0), 100 + (n + 3) % 25).when(~is_user & (n % 6 == 0), 100 + n % 10).otherwise(F.col("parent_id"))
+    old = (now.withColumn("parent_id", moved.cast("bigint"))
+           .withColumn("parent_type", F.when(~is_user & (n % 6 == 0), org.DEPARTMENT).otherwise(F.col("parent_type")).cast("int"))
+           .withColumn("is_removed", F.when(n % 9 == 0, ~F.col("is_removed")).otherwise(F.col("is_removed"))))
+    old = cut_lineage(old)
+    bridge, _ = org.update_user_departments(org.user_departments(old), org.bridge_closure(old), old, now)
+    return bridge
+
+
 @query("J14_multi_key_join", with_model("""
     SELECT a.ldate, a.user_id, a.file_type, a.n, b.m FROM
       (SELECT ldate, user_id, file_type, count(*) AS n FROM ev WHERE action_name = 'view_file' GROUP BY ALL) a
@@ -286,6 +303,37 @@ def a5(spark, sf):
     return agg.users_with_days(team_days(spark, sf, F.lit(True)), ["team_id"], "user_id", "ldate", 20, "users")
 
 
+def window_uv_sql(days: int, last: str) -> str:
+    return f"""
+    SELECT r.d AS ldate, team_id, count(DISTINCT user_id) AS active_uv
+    FROM (SELECT CAST(unnest(generate_series(DATE '2024-01-05', DATE '{last}', INTERVAL 1 DAY)) AS DATE) AS d) r
+    JOIN eva ON eva.ldate BETWEEN r.d - {days - 1} AND r.d WHERE team_id IS NOT NULL GROUP BY ALL"""
+
+
+def register_bitmap_uv(days: int, last: str = "2024-02-10"):
+    @query(f"A4_bitmap_distinct_{days}d", with_model(window_uv_sql(days, last)))
+    def run(spark, sf):
+        """From stored daily bitmaps; the last report dates are after the last event."""
+        span, store = Span.of("2024-01-05", last), Store(spark, scratch_path(spark, "bitmaps"))
+        reach.refresh_bitmaps(store, fx.workspace(spark, sf), span, days)
+        return reach.active_users(store, span, days)
+
+
+register_bitmap_uv(7)
+register_bitmap_uv(30)
+
+
+@query("A5_active_day_masks", with_model(f"""
+    SELECT user_id, count(DISTINCT CASE WHEN ldate > {D} - 7 THEN ldate END) AS days_7, count(DISTINCT ldate) AS days_30
+    FROM ev WHERE ldate BETWEEN {D} - 29 AND {D} GROUP BY user_id"""))
+def a5_masks(spark, sf):
+    """Masks of the day from those of five days before and the days in between."""
+    ev = fx.events(spark, sf)
+    before = advance(ev, ["user_id"], "2024-01-10")
+    masks = advance(ev, ["user_id"], fx.DATE, before, "2024-01-10")
+    return masks.select("user_id", days_active(7).cast("bigint").alias("days_7"), days_active(30).cast("bigint").alias("days_30"))
+
+
 @query("A6_select_distinct", with_model("SELECT DISTINCT user_id, file_type, sub_type FROM ev"))
 def a6(spark, sf):
     return fx.events(spark, sf).select("user_id", "file_type", "sub_type").distinct()
@@ -432,8 +480,7 @@ def w6(spark, sf):
     seen = fx.events(spark, sf).select("ldate", "user_id").distinct()
     uv = (seen.join(user_teams(fx.users(spark, sf)), "user_id").groupBy("ldate", "team_id")
           .agg(F.count("user_id").alias("uv")))
-    before = uv.select(F.date_add("ldate", 7).alias("ldate"), "team_id", F.col("uv").alias("before_uv"))
-    both = uv.join(before, ["ldate", "team_id"], "left").withColumn("before_uv", zero_if_null(F.col("before_uv")))
+    both = earlier_values(uv, ["team_id"], ["uv"], 7, "before_").withColumn("before_uv", zero_if_null(F.col("before_uv")))
     return both.withColumn("change_ratio", change(F.col("uv"), F.col("before_uv")))
 
 

@@ -81,6 +81,30 @@ def s7(spark, sf):
     return readers.read_csv(spark, path, schemas.EDGE).drop("version", "order", "is_link")
 
 
+NOTE_SQL = """CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 7 = 1 THEN '' ELSE
+    ' 文"档" ^,' || chr(10) || event_type || chr(13) || chr(10) || chr(92) || 'n ' || chr(92) END"""
+
+
+@query("S7_csv_line_ends", f"SELECT event_id, {NOTE_SQL} AS note, event_type FROM events")
+def s7_line_ends(spark, sf):
+    """Quotes, separators, line ends, backslashes, blanks, empty and NULL fields, one line per row."""
+    path, e = scratch_path(spark, "notes-csv"), F.col("event_id")
+    note = F.concat(F.lit(' 文"档" ^,\n'), F.col("event_type"), F.lit("\r\n\\n \\"))
+    df = fx.table(spark, sf, "events").select("event_id", F.when(e % 7 == 1, "").when(e % 7 > 1, note).alias("note"), "event_type")
+    sinks.write_csv(df, path, escaped=True)
+    return readers.read_csv(spark, path, "event_id long, note string, event_type string", escaped=True)
+
+
+@query("S7_csv_corrupt_lines", """SELECT event_id, CASE WHEN event_id % 5 = 0 THEN event_id || ',one,two' ELSE NULL END AS bad FROM events
+    WHERE event_id % 5 <> 0 UNION ALL SELECT event_id, event_id || ',one,two' FROM events WHERE event_id % 5 = 0""")
+def s7_corrupt(spark, sf):
+    """Lines with a field too many are set aside as text."""
+    path, e = scratch_path(spark, "bad-csv"), F.col("event_id")
+    lines = F.concat(e.cast("string"), F.when(e % 5 == 0, F.lit(",one,two")).otherwise(F.lit(",one")))
+    fx.table(spark, sf, "events").select(lines.alias("value")).write.text(path)
+    return readers.read_csv(spark, path, "event_id long, note string", header=False, corrupt="bad").select("event_id", "bad")
+
+
 @query("S8_tsv_snapshot", with_model("SELECT guid, name, type, sub_type, created_at, created_by FROM fil"))
 def s8(spark, sf):
     path = scratch_path(spark, "files-tsv")

@@ -46,11 +46,43 @@ def read_dimension(spark: SparkSession, source: str, schema: str, **jdbc) -> Dat
     return read_parquet(spark, source, schema)
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, *, header: bool = True,
-             sep: str = ",") -> DataFrame:
-    """Delimited text with a header line to skip. Quotes are doubled inside quoted fields."""
-    return (spark.read.schema(schema).option("header", header).option("sep", sep)
-            .option("quote", '"').option("escape", '"').option("multiLine", False).csv(path))
+def unescape_lines(text: Column) -> Column:
+    r"""Text whose line ends were escaped by ``sinks.escape_lines``: ``\n``, ``\r`` and ``\\`` turned back."""
+    out = F.replace(text, F.lit("\\\\"), F.lit("\0"))
+    for mark, char in (("\\n", "\n"), ("\\r", "\r")):
+        out = F.replace(out, F.lit(mark), F.lit(char))
+    return F.replace(out, F.lit("\0"), F.lit("\\"))
+
+
+def read_csv(spark: SparkSession, path: str, schema: str, *, header: bool = True, sep: str = ",",
+             escaped: bool = False, multiline: bool = False, corrupt: str | None = None) -> DataFrame:
+    r"""Delimited text with a header line to skip. Quotes are doubled inside quoted fields.
+
+    A line with another number of fields, or a field that does not fit its type, is an error when it is
+    read; all columns are parsed whatever the query selects, so none slips through. With ``corrupt`` such
+    lines are kept instead, as text in that column with all others NULL where they did not parse.
+
+    ``escaped`` reads what ``sinks.write_csv(escaped=True)`` writes: one line per row, line ends inside
+    fields escaped by a backslash, files that Spark can split. ``multiline`` reads foreign files with bare
+    line ends inside quotes; each such file is one task.
+    """
+    fields = T.StructType.fromDDL(schema)
+    reader = (spark.read.option("header", header).option("sep", sep).option("quote", '"').option("escape", '"')
+              .option("multiLine", multiline).option("columnPruning", False)
+              .option("mode", "PERMISSIVE" if corrupt else "FAILFAST"))
+    if not multiline:
+        reader = reader.option("lineSep", "\n")
+    if escaped:
+        reader = reader.option("nullValue", "\\N")
+    if corrupt:
+        if corrupt in fields.names:
+            raise ValueError(f"{corrupt} is a column of the file")
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
+    df = reader.schema(T.StructType([*fields.fields, *([T.StructField(corrupt, T.StringType())] if corrupt else [])])).csv(path)
+    if not escaped:
+        return df
+    return df.select(*[unescape_lines(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType) and f.name != corrupt
+                       else F.col(f"`{f.name}`") for f in df.schema])
 
 
 def read_tsv(spark: SparkSession, path: str, schema: str, *, header: bool = False) -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import DateLike, as_date
 
@@ -25,12 +26,34 @@ def write_events(events: DataFrame, path: str, mode: str = "append") -> None:
     events.hint("rebalance", "ldate").write.mode(mode).partitionBy("ldate").parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, *, header: bool = True, sep: str = ",") -> None:
-    """Delimited text export; quotes are doubled inside quoted fields, lists become text."""
-    flat = df.select(*[
-        (F.array_join(F.col(f.name), ",") if f.dataType.typeName() == "array" else F.col(f.name)).alias(f.name)
-        for f in df.schema])
-    (flat.write.mode("overwrite").option("header", header).option("sep", sep)
+def escape_lines(text: Column) -> Column:
+    r"""Backslashes doubled, line feeds and carriage returns written as ``\n`` and ``\r``."""
+    out = text
+    for char, mark in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        out = F.replace(out, F.lit(char), F.lit(mark))
+    return out
+
+
+def write_csv(df: DataFrame, path: str, *, header: bool = True, sep: str = ",", escaped: bool = False) -> None:
+    r"""Delimited text export; quotes are doubled inside quoted fields, lists become text.
+
+    ``escaped`` keeps every row on one line whatever its fields hold, so that files can be split:
+    line ends and backslashes are escaped (``escape_lines``). Without it a line end stays inside its quotes, and
+    only ``read_csv(multiline=True)`` reads such a file. An escaped file marks NULL by ``\N`` and so tells it from
+    an empty text; in a plain one both are read as NULL. Blanks around a value and empty texts are kept.
+    """
+    def flat(f) -> Column:
+        c = F.col(f"`{f.name}`")
+        if f.dataType.typeName() == "array":
+            c = F.array_join(c, ",")
+        elif not isinstance(f.dataType, T.StringType):
+            return c
+        return escape_lines(c) if escaped else c
+
+    (df.select(*[flat(f).alias(f.name) for f in df.schema])
+     .write.mode("overwrite").option("header", header).option("sep", sep)
+     .options(**({"nullValue": "\\N"} if escaped else {}))
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("quote", '"').option("escape", '"').csv(path))
 
 

@@ -179,3 +179,29 @@ def test_a_streams_folder_is_refused(spark, tmp_path):
     (tmp_path / "t" / "_spark_metadata").mkdir(parents=True)
     with pytest.raises(ValueError, match="belongs to a stream"):
         sinks.write_events(spark.range(1).selectExpr("current_date() AS ldate", "id"), f"{tmp_path}/t")
+
+
+ODD = ['q"uote', 'back\\', 'a^b', '档', 'x\ny', 'x\r\ny', '\\n', '\\N', '', None, ' pad ', 'a,b', '\\\\n\n', '"', '\n']
+
+
+def test_odd_texts_survive_an_escaped_csv_on_one_line_each(spark, tmp_path):
+    rows = [(i, t, t) for i, t in enumerate(ODD)]
+    sinks.write_csv(spark.createDataFrame(rows, "i int, t string, u string").coalesce(1), f"{tmp_path}/c", escaped=True)
+    assert len(spark.read.option("lineSep", "\n").text(f"{tmp_path}/c").collect()) == len(rows) + 1
+    assert as_set(readers.read_csv(spark, f"{tmp_path}/c", "i int, t string, u string", escaped=True), "i", "t", "u") == set(rows)
+
+
+def test_line_ends_in_a_plain_csv_need_multiline_and_fail_without(spark, tmp_path):
+    rows = [(i, t, 1) for i, t in enumerate(ODD) if t and t != "\n"]
+    sinks.write_csv(spark.createDataFrame(rows, "i int, t string, n int"), f"{tmp_path}/c")
+    assert as_set(readers.read_csv(spark, f"{tmp_path}/c", "i int, t string, n int", multiline=True), "i", "t") == {(i, t) for i, t, _ in rows}
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        readers.read_csv(spark, f"{tmp_path}/c", "i int, t string, n int").count()
+
+
+def test_corrupt_lines_are_kept_as_text(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("i,t\n1,a\nx,b\n3\n4,d,e\n")
+    got = readers.read_csv(spark, f"{tmp_path}/c.csv", "i int, t string", corrupt="bad")
+    assert {r.bad for r in got.collect()} == {None, "x,b", "3", "4,d,e"}
+    with pytest.raises(ValueError):
+        readers.read_csv(spark, f"{tmp_path}/c.csv", "i int, t string", corrupt="t")
