@@ -13,6 +13,7 @@ from tallyboard.plans.files import live_files
 from tallyboard.sources import readers, sinks
 from tallyboard.sources.scratch import scratch_path
 from tallyboard.sources.store import Store
+from tallyboard.sources.wire import WireSchema
 from tallyboard.streaming import cdc, events as stream
 from tallyboard.streaming.replica import Replica
 
@@ -52,6 +53,45 @@ def s2(spark, sf):
     return framed.select(record.alias("e")).select("e.guid", "e.user_id", "e.time")
 
 
+def wires():
+    return {7: WireSchema.of_json(),
+            300: WireSchema.of_json("at BIGINT, who BIGINT, guid STRING, extra STRING", time="at", user_id="who")}
+
+
+def wire_messages(rows):
+    """Events of two schemas (JSON stands in for Avro), of one that is unknown, and messages without a header,
+    cut short in it, with a record that does not decode, or NULL."""
+    e, millis = F.col("event_id"), F.unix_millis(F.col("ts").cast("timestamp"))
+    guid = e.cast("string").alias("guid")
+    old = F.to_json(F.struct(millis.alias("at"), F.col("user_id").alias("who"), guid, F.lit("x").alias("extra")))
+    new = F.to_json(F.struct(F.col("event_type"), guid, F.col("user_id").cast("string").alias("user_id"), millis.alias("time")))
+    framed = lambda header, text: F.concat(F.unhex(F.lit(header)), text.cast("binary"))
+    kind = e % 8
+    return rows.select(
+        F.when(kind == 0, framed("0000000007", new)).when(kind == 1, framed("000000012C", old)).when(kind == 2, framed("0000000008", new))
+        .when(kind == 3, new.cast("binary")).when(kind == 4, F.unhex(F.lit("000000"))).when(kind == 5, framed("0000000007", F.lit("no json")))
+        .when(kind == 6, framed("0000000007", old)).alias("value"), e.alias("offset"))
+
+
+@query("S2_several_schemas", """
+    SELECT ['event', 'event', 'unknown schema', 'no schema header', 'no schema header', 'no event time', 'no event time', 'empty'][event_id % 8 + 1] AS kind,
+      CASE WHEN event_id % 8 < 2 THEN CAST(event_id AS VARCHAR) END AS guid, CASE WHEN event_id % 8 < 2 THEN CAST(user_id AS VARCHAR) END AS user_id,
+      CASE WHEN event_id % 8 = 0 THEN event_type END AS event_type, CASE WHEN event_id % 8 < 2 THEN CAST(ts AS DATE) END AS ldate,
+      CASE WHEN event_id % 8 >= 2 THEN event_id END AS origin, CAST(CASE event_id % 8 WHEN 2 THEN 8 WHEN 5 THEN 7 WHEN 6 THEN 7 END AS BIGINT) AS schema_id
+    FROM events""")
+def s2_several(spark, sf):
+    """One stream of several schemas into the event table and the table of rejects."""
+    root = scratch_path(spark, "wires")
+    stream.ingest_messages(wire_messages(raw_stream(spark, sf)), f"{root}/events", f"{root}/rejects", f"{root}/checkpoint",
+                           wires=wires(), available_now=True).awaitTermination()
+    none = lambda kind: F.lit(None).cast(kind)
+    events = stream.read_events(spark, f"{root}/events").select(
+        F.lit("event").alias("kind"), "guid", "user_id", "event_type", "ldate", none("long").alias("origin"), none("long").alias("schema_id"))
+    return events.unionByName(stream.read_rejects(spark, f"{root}/rejects").select(
+        F.col("reason").alias("kind"), none("string").alias("guid"), none("string").alias("user_id"), none("string").alias("event_type"),
+        none("date").alias("ldate"), F.col("offset").alias("origin"), "schema_id"))
+
+
 @query("S3_json_payload", with_model(f"SELECT {EVENT_COLS} FROM ev"))
 def s3(spark, sf):
     return readers.decode_events(as_messages(fx.events(spark, sf).drop("ldate")))

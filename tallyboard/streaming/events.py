@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.scalars import UTC, epoch_millis_to_date
 from ..sources.readers import accepted, decode_events, rejects
+from ..sources.wire import WireSchema, route, routed_events, routed_rejects
 
 
 def with_day(events: DataFrame, zone: str = UTC) -> DataFrame:
@@ -30,20 +33,29 @@ def ingest(events: DataFrame, path: str, checkpoint: str, *, zone: str = UTC,
 
 def ingest_messages(messages: DataFrame, events_path: str, rejects_path: str, checkpoint: str, *, zone: str = UTC,
                     schema_id: int | None = None, avro_schema: str | None = None, available_now: bool = False,
-                    interval: str = "1 minute") -> StreamingQuery:
+                    interval: str = "1 minute", wires: Mapping[int, WireSchema] | None = None) -> StreamingQuery:
     """Raw messages to two tables: events, and rejects with the reason; each message ends in exactly one, once.
 
     A micro-batch writes the folders of its own number (``ldate=<day>/batch=<id>`` and ``batch=<id>``). A batch
     that broke between its two writes, or inside one, is run again from the same offsets and overwrites them,
     so nothing is lost or counted twice. An event without a day cannot get into the event table.
+
+    With ``wires`` the stream may carry several schemas: each message goes to the decoder of the id in its
+    header, and rejects also tell that id.
     """
+    if wires is not None and (schema_id is not None or avro_schema is not None):
+        raise ValueError("wires name the schemas; schema_id and avro_schema are for streams of one")
+
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch if wires is None else route(batch, wires)
         batch.persist()  # no larger than a trigger's share of the source; spills to disk
         try:
-            good = with_day(decode_events(accepted(batch, schema_id), avro_schema), zone).withColumn("batch", F.lit(batch_id))
+            events = decode_events(accepted(batch, schema_id), avro_schema) if wires is None else routed_events(batch)
+            good = with_day(events, zone).withColumn("batch", F.lit(batch_id))
             (good.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("ldate", "batch").parquet(events_path))
-            rejects(batch, schema_id).write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
+            bad = rejects(batch, schema_id) if wires is None else routed_rejects(batch)
+            bad.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
         finally:
             batch.unpersist()
 
