@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import suppress
+
 from pyspark.sql import functions as F
 
 from tallyboard.operators.periods import Span
@@ -590,8 +592,25 @@ def _late(events):
     return events.filter("ldate <> date'2024-01-12' OR pmod(hash(time, user_id), 5) <> 0")
 
 
+def _resumed(spark, sf, task):
+    """Rows of 2024-01-15 from a run that broke after its first date and was started again under its name."""
+    store = Store(spark, scratch_path(spark, "backfill"))
+    ws = fx.workspace(spark, sf, "files")
+
+    def broken(task, date, rows):
+        if date == DAY.end:
+            raise InterruptedError("the run breaks before this date counts as finished")
+
+    run = dict(ws=ws, store=store, bulk=False, name="resumed")
+    with suppress(InterruptedError):
+        jobs.Backfill(**run, serve=broken).run("2024-01-14", fx.DATE, [task])
+    jobs.Backfill(**run).run("2024-01-14", fx.DATE, [task])
+    return store.read_day(task, fx.DATE)
+
+
 for _id, _task in (("M07", usage.COLLAB_30D_BY_MEMBER.table), ("M08", usage.PRODUCT_BY_TEAM.table),
                    ("M14", rankings.HOT_7D), ("M15", rankings.SPACES)):
     _sql = ORACLES[f"{_id}_{_task}"]
     query(f"B1_backfill_after_gap_{_id}", _sql)(lambda spark, sf, t=_task: _repaired(spark, sf, t, "2024-01-03"))
+    query(f"B1_resumed_run_{_id}", _sql)(lambda spark, sf, t=_task: _resumed(spark, sf, t))
     query(f"B1_late_rows_{_id}", _sql)(lambda spark, sf, t=_task: _repaired(spark, sf, t, "2024-01-14", _late))

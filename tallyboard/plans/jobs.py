@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from ..operators.periods import Span
 from ..sources.store import Store
 from . import enterprise, rankings, usage
 from .files import merge_files
+from .journal import Journal, state_of
 from .model import Workspace
 from .org import user_departments
 from .rollups import activity_rollup, touch_rollup
@@ -68,7 +70,7 @@ WINDOW_DAYS: dict[str, int] = {
     enterprise.USERS_TABLE: 14, enterprise.CREATION_TABLE: 14,
 }
 WIDEST = 30
-LEDGER = "_days"
+LEDGER, LEDGER_SCHEMA = "_days", "ldate date, events long"
 
 
 @dataclass(frozen=True)
@@ -92,6 +94,11 @@ class Backfill:
 
     ``carry_masks`` keeps each user's active days of the last 30 as one integer per day, so that
     active users over any such window take one day's events and the masks of the day before.
+
+    With a ``name`` the run keeps a journal in the store. When it breaks, a run of the same name and arguments
+    goes on: what it has stored (and served) is not computed again, unless late rows have changed the roll-ups
+    since. A step that broke half-way is done again whole. Dimensions are taken to be those of the first start.
+    ``refresh`` does all steps again.
     """
 
     ws: Workspace
@@ -102,6 +109,11 @@ class Backfill:
     carry_masks: bool = False
     catch_up: bool = False
     serve: Callable[[str, dt.date, DataFrame], None] | None = None
+    name: str | None = None
+
+    @cached_property
+    def journal(self) -> Journal | None:
+        return Journal(self.store, self.name) if self.name else None
 
     def run(self, start, end=None, tasks: Sequence[str] | None = None, lookback: int = 0) -> None:
         """``lookback`` may lengthen the look-back that the tasks need, never shorten it."""
@@ -120,14 +132,19 @@ class Backfill:
         if self.carry_masks and enterprise.USERS_TABLE in wanted:
             ws = self.with_masks(ws, span)
         carry = self.carry_spaces and rankings.SPACES in wanted
+        ledgers = {t: self._ledger(t) for t in (ACTIVITY, TOUCHES)} if self.journal else {}
         for part in ([span] if self.bulk else [Span.of(d) for d in span.dates()]):
-            if carry:
+            state = state_of(ledgers, part.end)
+            left = [t for t in wanted if self.refresh or not self.journal or not self.journal.finished(t, part, state)]
+            if carry and left:
                 ws = self.with_spaces(ws, part, redone)
-            for task in wanted:
+            for task in left:
                 self.store.write_span(JOBS[task](ws, part), task, part)
                 if self.serve:
                     for d in part.dates():
                         self.serve(task, d, self.store.read_day(task, d))
+                if self.journal:
+                    self.journal.finish(task, part, state)
 
     def with_rollups(self, span: Span, days: int = WIDEST, touches: bool = True,
                      history: bool = True) -> tuple[Workspace, list[dt.date]]:
@@ -141,14 +158,20 @@ class Backfill:
         if touches:
             redone = sorted({*redone, *self._roll_up(TOUCHES, touch_rollup, Span(start, span.end), history)})
             ws = ws.with_(touches=self.store.read(TOUCHES))
-        return ws, redone
+        return ws, sorted({*redone, *self.journal.late()}) if self.journal else redone
+
+    def _ledger(self, table: str) -> dict[dt.date, int]:
+        """Days that a roll-up holds, with the events of each. A ledger whose writing broke off has none."""
+        path = self.store.path(table + LEDGER)
+        if not self.store.exists(path):
+            return {}
+        return {r["ldate"]: r["events"] for r in self.store.spark.read.schema(LEDGER_SCHEMA).parquet(path).collect()}
 
     def _roll_up(self, table: str, rollup, span: Span, history: bool) -> list[dt.date]:
         """Roll up the days of the span (of all history up to its end) that the ledger lacks or has with
         another number of events; returns those that were in the ledger. One row per day reaches the driver."""
         store = self.store
-        ledger = store.read_dimension(table + LEDGER).collect() if store.exists(store.path(table + LEDGER)) else []
-        known = {r["ldate"]: r["events"] for r in ledger}
+        known = self._ledger(table)
         events = self.ws.events.filter(F.col("ldate") <= F.lit(span.end))
         if not history:
             events = events.filter(F.col("ldate") >= F.lit(span.start))
@@ -164,8 +187,10 @@ class Backfill:
                 if any(s <= d and s in known for s in stale):
                     store.drop_day(MASK_STATE, d)
         known, before = known | {d: found.get(d, 0) for d in stale}, set(known)
+        if self.journal:
+            self.journal.note_late(d for d in stale if d in before)
         # the ledger is written after the days it speaks of: a run that stops in between does them again
-        store.replace(store.spark.createDataFrame(sorted(known.items()), "ldate date, events long").coalesce(1), table + LEDGER)
+        store.replace(store.spark.createDataFrame(sorted(known.items()), LEDGER_SCHEMA).coalesce(1), table + LEDGER)
         return [d for d in stale if d in before]
 
     def with_masks(self, ws: Workspace, span: Span) -> Workspace:

@@ -36,6 +36,12 @@ def claim(spark: SparkSession, path: str) -> None:
     fs.create(p, False).close()
 
 
+def mark(spark: SparkSession, path: str) -> None:
+    """Create an empty file, or leave one that is there as empty."""
+    fs, p = _handle(spark, path)
+    fs.create(p, True).close()
+
+
 def publish(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file so that it is there whole or not at all."""
     fs, p = _handle(spark, path)
