@@ -4,9 +4,12 @@ The statistics of texts that pass the base rules are transformed, and for each l
 a minimum-covariance-determinant estimate of their centre and scatter is made from the distinct rows,
 so that copies count once. Three starts (medians and median deviations, plain moments, moments
 weighted by distance) go on by concentration steps, each of which estimates mean and covariance from the
-half of the rows that lie nearest by Mahalanobis distance. The least determinant wins, and mean and covariance
-of all rows near it are the estimate. Small groups are pooled by language, and small languages together;
-with fewer than ``MIN_ROWS`` distinct rows there is no estimate and nothing is rejected. Every covariance gets fixed variances on its diagonal, so a statistic that is
+half of the rows that lie nearest by Mahalanobis distance, until no start of any group finds a smaller
+determinant. The least determinant wins, and mean and covariance of all rows near it are the estimate.
+Medians and halves are taken over narrow fixed bins (``GRID``, ``DOUBLING``), so they depend neither on how rows
+lie in partitions nor need more memory for larger groups. Groups of fewer than ``MIN_ROWS`` distinct rows are pooled
+by language, small languages together, and should these be few as well, they are judged by the estimate of all rows.
+A whole table of fewer distinct rows has no estimate, and nothing is rejected. Every covariance gets fixed variances on its diagonal, so a statistic that is
 constant in a group rejects nobody for a trifle.
 
 Words are ``[^\x20\x09-\x0D]+``. NULL texts have no words and fail the base rules. NULL languages
@@ -31,8 +34,11 @@ REWEIGHT, REWEIGHT_CONSISTENCY = 11.143, 1.0645
 LEAST_SD = (0.1, 0.2, 0.06, 0.12)
 #: Squared Mahalanobis distance above which a text is rejected: the chi-square quantile of 1 - 1e-6 in four dimensions.
 CUTOFF = 33.377
-#: Concentration steps end when no group's determinant falls by this share, or after ``STEPS``.
-STEPS, LEAST_GAIN = 8, 0.001
+#: Concentration ends when the logarithm of no group's least determinant falls by this much any more.
+LEAST_GAIN = 0.001
+#: Bins to a unit of a statistic, for medians, and to a doubling of a squared distance, for the nearest half.
+GRID, DOUBLING = 1024, 64
+REST, ALL = "\t\t", "\t\t\t"
 Z = [f"z{i}" for i in range(len(LEAST_SD))]
 
 
@@ -71,16 +77,26 @@ def base_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _strata(rows: DataFrame) -> DataFrame:
-    """``rows`` with the group whose estimate judges them."""
+    """``rows`` with the group whose estimate judges them: language and source, language, or all that is left."""
     part = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
     rows = rows.withColumns({"lang_": part("lang"), "pair_": F.concat_ws("\t", part("lang"), part("source"))})
-    fit = rows.filter(~F.col("base_failed")).select("lang_", "pair_", *Z).distinct()
-    pairs = fit.groupBy("pair_").count().filter(F.col("count") >= MIN_ROWS).select("pair_", F.lit(True).alias("own_"))
-    langs = (fit.join(pairs, "pair_", "left_anti").groupBy("lang_").count()
-             .filter(F.col("count") >= MIN_ROWS).select("lang_", F.lit(True).alias("whole_")))
-    return (rows.join(pairs, "pair_", "left").join(langs, "lang_", "left")
-            .withColumn("stratum", F.when(F.col("own_"), F.col("pair_")).when(F.col("whole_"), F.concat(F.lit("\t"), F.col("lang_")))
-                        .otherwise(F.lit("\t\t"))).drop("lang_", "pair_", "own_", "whole_"))
+    pairs = stored(rows.filter(~F.col("base_failed")).select("lang_", "pair_", *Z).distinct().groupBy("lang_", "pair_").count(), "pairs")
+    langs = pairs.filter(F.col("count") < MIN_ROWS).groupBy("lang_").agg(F.sum("count").alias("small_"))
+    groups = pairs.join(langs, "lang_", "left").select("pair_", F.when(F.col("count") >= MIN_ROWS, F.col("pair_")).when(
+        F.col("small_") >= MIN_ROWS, F.concat(F.lit("\t"), F.col("lang_"))).otherwise(F.lit(REST)).alias("stratum"))
+    # one row per language and source, stored, so that Spark knows its size
+    return (rows.join(stored(groups, "groups"), "pair_", "left")
+            .withColumn("stratum", F.coalesce("stratum", F.lit(REST))).drop("lang_", "pair_"))
+
+
+def _pooled(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` and the distinct rows their estimates are made from. Where too few are left for an estimate
+    of their own, they are judged by all."""
+    fit = stored(rows.filter(~F.col("base_failed")).select("stratum", *Z).distinct(), "fit")
+    if fit.filter(F.col("stratum") == REST).limit(MIN_ROWS).count() in (0, MIN_ROWS):
+        return rows, fit
+    to_all = F.when(F.col("stratum") == REST, ALL).otherwise(F.col("stratum"))
+    return rows.withColumn("stratum", to_all), fit.unionByName(fit.withColumn("stratum", F.lit(ALL)).distinct())
 
 
 def _distance(rows: DataFrame, estimates: DataFrame, *more: str) -> DataFrame:
@@ -115,46 +131,54 @@ def _moments(rows: DataFrame, consistency: float, weight: Column | None = None)
                    + (LEAST_SD[i] ** 2 if i == j else 0.0))
 
 
+def _binned(z: Column) -> Column:
+    return F.round(z * GRID) / GRID
+
+
 def _estimates(rows: DataFrame) -> DataFrame:
     """The reweighted minimum-covariance-determinant estimate of each group of at least ``MIN_ROWS`` distinct rows."""
-    accuracy = 1000
+    median = lambda x: F.percentile(_binned(x), 0.5)  # noqa: E731  (exact, of a bounded number of values)
     medians = rows.groupBy("stratum").agg(
-        F.count(F.lit(1)).alias("n"), *(F.percentile_approx(z, 0.5, accuracy).alias(f"m{i}") for i, z in enumerate(Z)))
-    medians = medians.filter(F.col("n") >= MIN_ROWS).drop("n")
+        F.count(F.lit(1)).alias("n"), *(median(F.col(z)).alias(f"m{i}") for i, z in enumerate(Z)))
+    medians = stored(medians.filter(F.col("n") >= MIN_ROWS).drop("n"), "mcd")
     deviations = rows.join(medians, "stratum").groupBy("stratum").agg(
         *(F.first(f"m{i}").alias(f"m{i}") for i in range(len(Z))),
-        *(F.percentile_approx(F.abs(F.col(z) - F.col(f"m{i}")), 0.5, accuracy).alias(f"s{i}") for i, z in enumerate(Z)))
+        *(median(F.abs(F.col(z) - F.col(f"m{i}"))).alias(f"s{i}") for i, z in enumerate(Z)))
     middle = stored(_factor(deviations.withColumn("start", F.lit(0)), lambda i, j: (
         F.pow(1.4826 * F.col(f"s{i}"), F.lit(2.0)) + LEAST_SD[i] ** 2 if i == j else F.lit(0.0))), "mcd")
     far = _distance(rows, middle).filter(F.col("d2").isNotNull())
     starts = [middle, _moments(far.withColumn("start", F.lit(1)), 1.0), _moments(far.withColumn("start", F.lit(2)), 1.0, 1 / (1 + F.col("d2")))]
-    estimates = stored(starts[0].unionByName(starts[1]).unionByName(starts[2]), "mcd")
-    for step in range(STEPS):
-        ranked = _distance(rows, estimates, "start").filter(F.col("d2").isNotNull())
-        reach = ranked.groupBy("stratum", "start").agg(F.percentile_approx("d2", NEAREST, accuracy).alias("reach"))
-        before, estimates = estimates, stored(_moments(ranked.join(reach, ["stratum", "start"]).filter(F.col("d2") <= F.col("reach")), CONSISTENCY), "mcd")
-        smaller = estimates.join(before.select("stratum", "start", F.col("volume").alias("before")), ["stratum", "start"])
-        if step and smaller.filter(F.col("volume") < F.col("before") - LEAST_GAIN).isEmpty():
+    estimates, least = stored(starts[0].unionByName(starts[1]).unionByName(starts[2]), "mcd"), None
+    columns = estimates.columns
+    while True:
+        ranked = _distance(rows, estimates, "start").filter(F.col("d2").isNotNull()).withColumn(
+            "bin_", F.ceil(DOUBLING * F.log2(F.greatest("d2", F.lit(1e-9)))))
+        reach = stored(ranked.groupBy("stratum", "start").agg(F.percentile("bin_", NEAREST).alias("reach")), "mcd")
+        estimates = stored(_moments(ranked.join(reach, ["stratum", "start"]).filter(F.col("bin_") <= F.ceil("reach")), CONSISTENCY), "mcd")
+        # estimates of halves only: the starts, of other rows, have no volume to compare
+        both = estimates if least is None else estimates.unionByName(least)
+        best = both.groupBy("stratum", "start").agg(F.min(F.struct("volume", *(c for c in columns if c not in ("stratum", "start", "volume")))).alias("best"))
+        before, least = least, stored(best.select("stratum", "start", "best.*").select(*columns), "mcd")
+        if before is not None and least.join(before.select("stratum", "start", F.col("volume").alias("before")), ["stratum", "start"]).filter(
+                F.col("volume") < F.col("before") - LEAST_GAIN).isEmpty():
             break
-    columns = estimates.columns[1:]
-    least = estimates.groupBy("stratum").agg(F.min(F.struct("volume", *(c for c in columns if c != "volume"))).alias("least"))
-    least = stored(least.select("stratum", *(F.col("least")[c].alias(c) for c in columns)), "mcd")
-    return stored(_moments(_distance(rows, least, "start").filter(F.col("d2") <= REWEIGHT), REWEIGHT_CONSISTENCY), "mcd")
+    one = least.groupBy("stratum").agg(F.min(F.struct("volume", *(c for c in columns if c not in ("stratum", "volume")))).alias("least"))
+    one = stored(one.select("stratum", "least.*"), "mcd")
+    return stored(_moments(_distance(rows, one, "start").filter(F.col("d2") <= REWEIGHT), REWEIGHT_CONSISTENCY), "mcd")
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (lang, source and text are needed): its columns without the text, the base
-    statistics, base_failed, d2 (NULL without an estimate) and kept."""
+    statistics, base_failed, d2 (NULL without an estimate) and kept. Columns of these names are replaced; stratum,
+    z0 to z3, lang_ and pair_ are names of the work and are not returned."""
     n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
     measured = base_statistics(docs).withColumn(
         "base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))).withColumns({
             "z0": F.log(F.greatest(F.col("word_chars"), F.lit(1)) / n), "z1": F.asinh(10.0 * F.col("n_symbols") / n),
             "z2": F.sqrt(F.col("n_repeat_words") / n), "z3": F.asinh(10.0 * F.col("n_dup_lines") / n)})
     rows = stored(measured, "statistics")
-    rows = stored(_strata(rows), "strata")
+    rows, fit = _pooled(stored(_strata(rows), "strata"))
     verdict = F.col("base_failed") | F.coalesce(F.col("d2") > CUTOFF, F.lit(False))
-    fit = rows.filter(~F.col("base_failed")).select("stratum", *Z).distinct()
-    fit = stored(fit, "fit")
     return _distance(rows, _estimates(fit)).withColumn("kept", ~verdict).drop("stratum", *Z)
 
 
