@@ -18,7 +18,7 @@ and sources are values of their own. Rows that repeat are judged alike. Only SQL
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from llm.registry import query, stored, table, text_or_empty
@@ -120,17 +120,39 @@ def _factor(moments: DataFrame, cov) -> DataFrame:
                       *(f"m{i}" for i in range(len(Z))), *(f"l{i}{j}" for i in range(len(Z)) for j in range(i + 1)))
 
 
-def _moments(rows: DataFrame, consistency: float, weight: Column | None = None) -> DataFrame:
-    """The estimates from means and covariances of the rows of each group and start."""
+def _sums(rows: DataFrame, *by: str, weight: Column | None = None) -> DataFrame:
+    """Weights, weighted statistics and their products, summed by ``by``."""
     weight = F.lit(1.0) if weight is None else weight
-    mean = lambda x: F.sum(weight * x) / F.sum(weight)
-    moments = rows.groupBy("stratum", "start").agg(
-        *(mean(F.col(z)).alias(f"m{i}") for i, z in enumerate(Z)),
-        *(mean(F.col(Z[i]) * F.col(Z[j])).alias(f"p{i}{j}") for i in range(len(Z)) for j in range(i + 1)))
-    return _factor(moments, lambda i, j: consistency * (F.col(f"p{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}"))
+    return rows.groupBy(*by).agg(
+        F.sum(weight).alias("n"), *(F.sum(weight * F.col(z)).alias(f"t{i}") for i, z in enumerate(Z)),
+        *(F.sum(weight * F.col(Z[i]) * F.col(Z[j])).alias(f"p{i}{j}") for i in range(len(Z)) for j in range(i + 1)))
+
+
+def _moments(sums: DataFrame, consistency: float) -> DataFrame:
+    """The estimates from means and covariances of the rows of each group and start."""
+    means = sums.withColumns({f"m{i}": F.col(f"t{i}") / F.col("n") for i in range(len(Z))})
+    return _factor(means, lambda i, j: consistency * (F.col(f"p{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}"))
                    + (LEAST_SD[i] ** 2 if i == j else 0.0))
 
 
+def _nearest(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+    """The sums over the nearest half of each group, by each of its estimates.
+
+    Rows are summed by bins of distance in one pass over them; the half is found among the bins, of which a group
+    has some thousands at most.
+    """
+    ranked = _distance(rows, estimates, "start").filter(F.col("d2").isNotNull()).withColumn(
+        "bin_", F.ceil(DOUBLING * F.log2(F.greatest("d2", F.lit(1e-9)))))
+    bins, group = _sums(ranked, "stratum", "start", "bin_"), Window.partitionBy("stratum", "start")
+    names = [c for c in bins.columns if c not in ("stratum", "start", "bin_")]
+    upto = F.sum("n").over(group.orderBy("bin_").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    bins = bins.withColumn("upto_", upto).withColumn("place_", NEAREST * (F.max("upto_").over(group) - 1))
+    bin_at = lambda place: F.min(F.when(F.col("upto_") > place, F.col("bin_"))).over(group)
+    bins = bins.withColumns({"low_": bin_at(F.floor("place_")), "high_": bin_at(F.ceil("place_"))})
+    reach = F.ceil(F.col("low_") + (F.col("place_") - F.floor("place_")) * (F.col("high_") - F.col("low_")))
+    return bins.filter(F.col("bin_") <= reach).groupBy("stratum", "start").agg(*(F.sum(c).alias(c) for c in names))
+
+
 def _binned(z: Column) -> Column:
     return F.round(z * GRID) / GRID
 
@@ -147,24 +169,22 @@ def _estimates(rows: DataFrame) -> DataFrame:
     middle = stored(_factor(deviations.withColumn("start", F.lit(0)), lambda i, j: (
         F.pow(1.4826 * F.col(f"s{i}"), F.lit(2.0)) + LEAST_SD[i] ** 2 if i == j else F.lit(0.0))), "mcd")
     far = _distance(rows, middle).filter(F.col("d2").isNotNull())
-    starts = [middle, _moments(far.withColumn("start", F.lit(1)), 1.0), _moments(far.withColumn("start", F.lit(2)), 1.0, 1 / (1 + F.col("d2")))]
-    estimates, least = stored(starts[0].unionByName(starts[1]).unionByName(starts[2]), "mcd"), None
-    columns = estimates.columns
+    starts = [middle, _moments(_sums(far.withColumn("start", F.lit(1)), "stratum", "start"), 1.0),
+              _moments(_sums(far.withColumn("start", F.lit(2)), "stratum", "start", weight=1 / (1 + F.col("d2"))), 1.0)]
+    estimates = stored(starts[0].unionByName(starts[1]).unionByName(starts[2]), "mcd")
+    values = F.struct("volume", *(c for c in estimates.columns if c not in ("stratum", "start", "volume")))
+    # least estimates of halves only: the starts, of other rows, have no volume to compare
+    before = estimates.select("stratum", "start", F.lit(None).cast(estimates.select(values.alias("v")).schema["v"].dataType).alias("before"))
     while True:
-        ranked = _distance(rows, estimates, "start").filter(F.col("d2").isNotNull()).withColumn(
-            "bin_", F.ceil(DOUBLING * F.log2(F.greatest("d2", F.lit(1e-9)))))
-        reach = stored(ranked.groupBy("stratum", "start").agg(F.percentile("bin_", NEAREST).alias("reach")), "mcd")
-        estimates = stored(_moments(ranked.join(reach, ["stratum", "start"]).filter(F.col("bin_") <= F.ceil("reach")), CONSISTENCY), "mcd")
-        # estimates of halves only: the starts, of other rows, have no volume to compare
-        both = estimates if least is None else estimates.unionByName(least)
-        best = both.groupBy("stratum", "start").agg(F.min(F.struct("volume", *(c for c in columns if c not in ("stratum", "start", "volume")))).alias("best"))
-        before, least = least, stored(best.select("stratum", "start", "best.*").select(*columns), "mcd")
-        if before is not None and least.join(before.select("stratum", "start", F.col("volume").alias("before")), ["stratum", "start"]).filter(
-                F.col("volume") < F.col("before") - LEAST_GAIN).isEmpty():
+        step = _moments(_nearest(rows, estimates), CONSISTENCY).select("stratum", "start", values.alias("now")).join(before, ["stratum", "start"])
+        state = stored(step.select("stratum", "start", "now", F.least("now", "before").alias("least"), F.coalesce(
+            F.col("now.volume") < F.col("before.volume") - LEAST_GAIN, F.lit(True)).alias("fell")), "mcd")
+        if state.filter("fell").isEmpty():
             break
-    one = least.groupBy("stratum").agg(F.min(F.struct("volume", *(c for c in columns if c not in ("stratum", "volume")))).alias("least"))
-    one = stored(one.select("stratum", "least.*"), "mcd")
-    return stored(_moments(_distance(rows, one, "start").filter(F.col("d2") <= REWEIGHT), REWEIGHT_CONSISTENCY), "mcd")
+        estimates, before = state.select("stratum", "start", "now.*"), state.select("stratum", "start", F.col("least").alias("before"))
+    one = state.groupBy("stratum").agg(F.min("least").alias("least")).select("stratum", "least.*").withColumn("start", F.lit(0))
+    near = _distance(rows, stored(one, "mcd"), "start").filter(F.col("d2") <= REWEIGHT)
+    return stored(_moments(_sums(near, "stratum", "start"), REWEIGHT_CONSISTENCY), "mcd")
 
 
 def judge(docs: DataFrame) -> DataFrame:
