@@ -17,6 +17,7 @@ of both kinds everything scores 0, so nothing is filtered. A NULL doc_id is not
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -38,6 +39,8 @@ RATE = 0.6
 MIN_TEXTS = 4
 THRESHOLD = 0.7
 MEMO_WORDS = 300_000
+#: Words, n-grams or buckets that training holds as floating-point numbers at a time.
+PIECE = 1 << 16
 #: Signs that stand for letters inside words.
 LOOKALIKES = str.maketrans("013457@$!", "oieastasi")
 
@@ -59,58 +62,104 @@ def buckets(word: str) -> list[int]:
     return [zlib.crc32(marked[i:i + n].encode()) % BUCKETS for n in GRAMS for i in range(max(1, len(marked) - n + 1))]
 
 
+def _pieces(length: int) -> Iterator[slice]:
+    """Slices that cover ``length`` entries, each of a bounded size."""
+    return (slice(at, min(at + PIECE, length)) for at in range(0, length, PIECE))
+
+
+def _spread(firsts: np.ndarray, length: int) -> list[tuple[slice, slice]]:
+    """Pairs of slices of runs and of their entries, bounded unless one run is longer; ``firsts`` are the runs' first entries."""
+    cuts = np.unique(np.append(np.searchsorted(firsts, np.arange(0, length, PIECE)), len(firsts)))
+    ends = np.append(firsts, length)
+    return [(slice(a, b), slice(ends[a], ends[b])) for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
+
+
 def train(texts: list[str], toxic: list[int], seed: int = 7) -> Model:
     """Fit vectors and layer together over all passages of all texts, by gradient descent with momentum.
 
     The largest step of each parameter has a fixed length and all others keep their proportion to
     it, so n-grams that many toxic texts share are learned and those of single texts hardly are.
     Buckets met in fewer than ``MIN_TEXTS`` texts stay out. Each round leaves out half of the n-grams
-    at random, so that none of a word's is needed to know it.
+    at random, so that none of a word's is needed to know it. Words and n-grams are gone through ``PIECE``
+    at a time: beside the words as numbers, little memory is taken.
     """
     rng = np.random.default_rng(seed)
     known: dict[str, int] = {}
-    own = [[known.setdefault(w, len(known)) for w in text.split()] for text in texts]
-    keep = [k for k, x in enumerate(own) if x]
-    own, label = [own[k] for k in keep], np.array(toxic)[keep]
+    numbers, lengths, label = array("i"), array("q"), array("q")
+    for text, value in zip(texts, toxic):
+        own = [known.setdefault(w, len(known)) for w in text.split()]
+        if own:
+            numbers.extend(own)
+            lengths.append(len(own))
+            label.append(value)
+    words, lengths, label = np.frombuffer(numbers, np.int32), np.array(lengths), np.array(label)
     # passages: each text in windows, the last one shorter
-    lengths = np.array([len(x) for x in own])
-    words = np.concatenate([np.array(x, np.int32) for x in own])
-    text_of_word = np.repeat(np.arange(len(own)), lengths)
-    place = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    begins = np.flatnonzero(place % WINDOW == 0)
+    passages = -(-lengths // WINDOW)
+    first_passage = np.cumsum(passages) - passages
+    text_begins = np.cumsum(lengths) - lengths
+    begins = np.arange(passages.sum()) - np.repeat(first_passage, passages)
+    begins *= WINDOW
+    begins += np.repeat(text_begins, passages)
     counts = np.diff(np.append(begins, len(words)))
-    first_passage = np.flatnonzero(np.diff(text_of_word[begins], prepend=-1))
-    passages = np.diff(np.append(first_passage, len(begins)))
     # the n-grams of the distinct words, without those of few texts
-    grams = [np.array(buckets(w), np.int32) for w in known]
-    sizes = np.array([len(g) for g in grams])
-    flat, word_of = np.concatenate(grams), np.repeat(np.arange(len(grams), dtype=np.int32), sizes)
-    pairs = np.unique(text_of_word.astype(np.int64) * len(grams) + words)
-    texts_with = np.bincount(pairs % len(grams), minlength=len(grams))  # of each word; at least as many of its n-grams
-    common = np.bincount(flat, texts_with[word_of], BUCKETS) >= MIN_TEXTS
-    flat, word_of = flat[common[flat]], word_of[common[flat]]
-
-    vectors = (rng.normal(0, 0.05, (BUCKETS, DIMENSIONS)) * common[:, None]).astype(np.float32)
+    grams, sizes = array("i"), array("q")
+    for word in known:
+        own = buckets(word)
+        grams.extend(own)
+        sizes.append(len(own))
+    del known
+    flat, sizes = np.frombuffer(grams, np.int32), np.array(sizes)
+    n = len(sizes)
+    word_of = np.repeat(np.arange(n, dtype=np.int32), sizes)
+    texts_with = np.zeros(n, np.int64)  # of each word; at least as many of its n-grams
+    for at, length in zip(text_begins.tolist(), lengths.tolist()):
+        texts_with[np.unique(words[at:at + length])] += 1
+    common = np.zeros(BUCKETS)
+    for part in _pieces(len(flat)):
+        np.add.at(common, flat[part], texts_with[word_of[part]])
+    common = common >= MIN_TEXTS
+    used = common[flat]
+    flat, word_of = flat[used], word_of[used]
+    del grams, used
+
+    vectors = np.zeros((BUCKETS, DIMENSIONS), np.float32)
+    for part in _pieces(BUCKETS):
+        vectors[part] = rng.normal(0, 0.05, (part.stop - part.start, DIMENSIONS)) * common[part, None]
     layer, bias = rng.normal(0, 0.5, (DIMENSIONS, 2)), np.zeros(2)
     weight = (0.5 / np.maximum(1, np.bincount(label, minlength=2)))[label]
     speed = [np.zeros_like(vectors), np.zeros_like(layer), np.zeros_like(bias)]
+    by_passages = _spread(begins, len(words))
+    step_of = np.zeros_like(vectors)
+    margin = np.zeros(len(begins))
     for step in range(ROUNDS):
         sharp = min(20.0, 1.07 ** step)
         direction = layer[:, 1] - layer[:, 0]
-        kept = np.flatnonzero(rng.random(len(flat)) < 0.5)
-        some, of_some = flat[kept], word_of[kept]
-        of_word = 2 * np.bincount(of_some, (vectors @ direction)[some], len(grams)) / sizes
-        margin = np.add.reduceat(of_word[words], begins) / counts + bias[1] - bias[0]
+        of_bucket, of_word = vectors @ direction, np.zeros(n)
+        kept = np.zeros(len(flat), bool)
+        for part in _pieces(len(flat)):
+            np.less(rng.random(part.stop - part.start), 0.5, out=kept[part])
+            np.add.at(of_word, word_of[part][kept[part]], of_bucket[flat[part][kept[part]]])
+        of_word = 2 * of_word / sizes
+        for some, part in by_passages:
+            margin[some] = np.add.reduceat(of_word[words[part]], begins[some] - part.start) / counts[some]
+        margin += bias[1]
+        margin -= bias[0]
         top = np.maximum.reduceat(margin, first_passage)
         grown = np.exp(sharp * (margin - np.repeat(top, passages)))
         total = np.add.reduceat(grown, first_passage)
         chance = 1 / (1 + np.exp(-np.clip(top + np.log(total / passages) / sharp, -30, 30)))
         slope = weight * (chance - label)
-        by_passage = np.repeat(slope / total, passages) * grown
-        by_word = np.bincount(words, np.repeat(by_passage / counts, counts), len(grams)) / sizes
-        by_gram = np.bincount(some, by_word[of_some], BUCKETS)
+        by_passage = np.repeat(slope / total, passages) * grown / counts
+        by_word = np.zeros(n)
+        for some, part in by_passages:
+            np.add.at(by_word, words[part], np.repeat(by_passage[some], counts[some]))
+        by_word /= sizes
+        by_gram = np.zeros(BUCKETS)
+        for part in _pieces(len(flat)):
+            np.add.at(by_gram, flat[part][kept[part]], by_word[word_of[part][kept[part]]])
         pull = by_gram @ vectors
-        grads = [(by_gram[:, None] * direction).astype(np.float32), np.stack([-pull, pull], axis=1), np.array([-slope.sum(), slope.sum()])]
+        np.multiply(by_gram[:, None], direction, out=step_of, casting="same_kind")
+        grads = [step_of, np.stack([-pull, pull], axis=1), np.array([-slope.sum(), slope.sum()])]
         for p, g, s, most in zip((vectors, layer, bias), grads, speed, (RATE, 0.05, 0.1)):
             s *= 0.8
             s += 0.2 * g / max(np.abs(g).max(), 1e-9)
