@@ -1,12 +1,14 @@
 """BPE encoding and decoding over a prefix-sharing trie.
 
-The distinct words of each block of documents go into a trie, which a worker keeps between blocks. The way down to
-a word carries the states of the nodes on it, and every node that is new gets its own:
-the last token of the encoding of the prefix that ends there. A prefix has exactly one
+The words of the documents share one trie of their prefixes, which a worker keeps between tasks, with one node for
+each prefix that a word's encoding may begin with, found by the prefix itself. Its state is
+the last token of the encoding of the prefix. A prefix has exactly one
 such token: the suffix of it that is in the vocabulary and may stand behind the state of the node
-where the suffix begins; a second trie, of the vocabulary read backwards, lists these suffixes. So each shared prefix
-is encoded once, whatever hangs below it, and a word's tokens are read by going back from its leaf. The last symbol
-of a word carries the word-end mark, hence leaves are no nodes.
+where the suffix begins; a second trie, of the vocabulary read backwards, lists these suffixes. Nodes are made when a
+suffix is tried behind them, so that most prefixes of a word need none, and each shared prefix
+is encoded once, whatever hangs below it. A node also holds the tokens up to it, and a word's are those of one node
+and a last one. The last symbol of a word carries the word-end mark, hence leaves are no nodes. Words of more than
+``LONG_WORD`` symbols hardly share prefixes and get their states by themselves, in a list.
 
 Texts are encoded whole and where they lie: no shuffle, and a lost task is simply run again.
 NULL and empty texts have no tokens. Repeated rows give repeated results. Other columns of the
@@ -31,6 +33,7 @@ WHITE = regex.compile(r"[\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\
 #: What ``str.split()`` takes for white space besides.
 SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 BLOCK_ROWS = 256
+LONG_WORD = 64
 MEMO_CHUNKS = 200_000
 MEMO_PIECES = 200_000
 MEMO_PREFIXES = 300_000
@@ -51,9 +54,9 @@ class TrieEncoder:
                 self.rank[made], self.parts[made] = rank, pair
         self.symbols = {i: len(t.removesuffix(word_end)) if word_end else len(t) for t, i in vocab.items()}
         self.text = {i: t for t, i in vocab.items()}
+        self.id_text = {i: str(i) for i in self.text}
         self.fits: dict[tuple[int, int], bool] = {}
-        self.root: dict = {}  # symbol -> node; a node's state is under None
-        self.nodes = 0
+        self.nodes: dict[str, tuple[int, str, str, int]] = {}  # prefix -> count, ids and tokens of its encoding, state
         self.reached: dict[int, bool] = {}
         # the usable tokens from their last symbol on, those with the word-end mark apart; a token is under None
         self.inner: dict = {}
@@ -94,8 +97,8 @@ class TrieEncoder:
             else:  # of equal ranks the left one is made first, and so may the crossing one be
                 limit, right = b + 1, parts[right][0]
 
-    def _last(self, word: str, end: int, suffixes: dict, states: list[int]) -> int:
-        """The last token of the first ``end`` symbols, given the states of all shorter prefixes: the longest that fits."""
+    def _suffixes(self, word: str, end: int, suffixes: dict) -> list[tuple[int, int]]:
+        """(start, token) of the tokens that end the first ``end`` symbols, shortest first."""
         found, start, node = [], end, suffixes
         while start:
             start -= 1
@@ -104,45 +107,53 @@ class TrieEncoder:
                 break
             if None in node:
                 found.append((start, node[None]))
-        fits = self.fits
-        for start, token in reversed(found):
+        return found
+
+    def _fit(self, state: int, token: int) -> bool:
+        pair = (state, token)
+        ok = self.fits.get(pair)
+        if ok is None:
+            ok = self.fits[pair] = self._apart(state, token)
+        return ok
+
+    def _node(self, prefix: str, suffixes: dict) -> tuple[int, str, str, int]:
+        """The node of a whole prefix: the longest suffix that fits, behind the node where it begins."""
+        nodes, found = self.nodes, self._suffixes(prefix, len(prefix), suffixes)
+        while found:
+            start, token = found.pop()
             if start == 0:
-                return token
-            pair = (states[start], token)
-            ok = fits.get(pair)
-            if ok is None:
-                ok = fits[pair] = self._apart(*pair)
-            if ok:
-                return token
-        raise ValueError(f"no token ends {word[:end]!r}")
-
-    def encode(self, words: Iterable[str]) -> dict[str, list[int]]:
-        """Token ids of each distinct word (none of them empty)."""
-        if self.nodes > MEMO_PREFIXES:
-            self.root, self.nodes = {}, 0
+                return 1, self.id_text[token], self.text[token], token
+            left = prefix[:start]
+            before = nodes.get(left)
+            if before is None:
+                before = nodes[left] = self._node(left, self.inner)
+            if self._fit(before[3], token):
+                return before[0] + 1, f"{before[1]} {self.id_text[token]}", f"{before[2]} {self.text[token]}", token
+        raise ValueError(f"no token ends {prefix!r}")
+
+    def _long(self, word: str) -> tuple[int, str, str]:
+        """As ``entry``, with the states of the word's own prefixes in a list."""
+        states, length = [-1], len(word)
+        for end in range(1, length + 1):
+            found = self._suffixes(word, end, self.final if end == length else self.inner)
+            token = next((t for start, t in reversed(found) if start == 0 or self._fit(states[start], t)), None)
+            if token is None:
+                raise ValueError(f"no token ends {word[:end]!r}")
+            states.append(token)
+        ids, end = [], length
+        while end:
+            ids.append(states[end])
+            end -= self.symbols[states[end]]
+        ids.reverse()
+        return len(ids), " ".join([self.id_text[i] for i in ids]), " ".join([self.text[i] for i in ids])
+
+    def entry(self, word: str) -> tuple[int, str, str]:
+        """Number, ids and names of a word's tokens, both joined by a space; no word is empty."""
+        if len(self.nodes) > MEMO_PREFIXES:
+            self.nodes.clear()
         if len(self.fits) > MEMO_PREFIXES:
             self.fits.clear()
-        root, inner, final, symbols, last = self.root, self.inner, self.final, self.symbols, self._last
-        out: dict[str, list[int]] = {}
-        for word in words:
-            node, states, end = root, [-1], len(word)
-            for depth in range(1, end):
-                below = node.get(word[depth - 1])
-                if below is None:
-                    below = node[word[depth - 1]] = {None: last(word, depth, inner, states)}
-                    self.nodes += 1
-                node = below
-                states.append(node[None])
-            token, ids = last(word, end, final, states), []
-            while True:
-                ids.append(token)
-                end -= symbols[token]
-                if end == 0:
-                    break
-                token = states[end]
-            ids.reverse()
-            out[word] = ids
-        return out
+        return self._long(word) if len(word) > LONG_WORD else self._node(word, self.final)[:3]
 
 
 def byte_letters() -> dict[str, str]:
@@ -168,41 +179,28 @@ class TextEncoder:
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names = self.trie.text | {i: t for t, i in self.added.items()}
         self.split_added = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")") if self.added else None
-        self.id_text = {i: str(i) for i in self.names}
-        self.memo = Memo(lambda chunk: self._entries([chunk])[chunk], MEMO_CHUNKS)
-        self.words = Memo(lambda word: self._entry(self.trie.encode([word])[word]), MEMO_PIECES)
+        self.memo = Memo(self._entry, MEMO_CHUNKS)
+        self.words = Memo(self.trie.entry, MEMO_PIECES)
         pattern = next((p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"), None)
         self.latin = regex.compile(pattern).findall if pattern and r"\p{L}]+" in pattern and tokenizer.normalizer else None
         self.letters = str.maketrans(byte_letters())
 
-    def _entry(self, ids: list[int]) -> tuple[int, str, str]:
-        return len(ids), " ".join([self.id_text[i] for i in ids]), " ".join([self.names[i] for i in ids])
-
     def _pieces(self, chunk: str) -> list[str]:
         """The words of a chunk over the byte alphabet. Latin text needs no help from the library."""
         if self.latin and (chunk.isascii() or max(chunk) < "\u0250"):
-            if chunk.isascii():  # most chunks are a word, or one with a mark behind it
-                low = chunk.lower()
-                if low.isalpha():
-                    return [low]
-                if low[-1] in ".,;:!?" and low[:-1].isalpha():
-                    return [low[:-1], low[-1]]
-            pieces = self.latin(chunk.lower())
+            low = chunk.lower()
+            # most chunks are a word, or one with a mark behind it
+            pieces = [low] if low.isalpha() else [low[:-1], low[-1]] if low[-1] in ".,;:!?" and low[:-1].isalpha() else self.latin(low)
             return pieces if chunk.isascii() and chunk.isprintable() else [p.encode().decode("latin-1").translate(self.letters) for p in pieces]
         return [p for p, _ in self.pieces(self.normalize(chunk)) if p]
 
-    def _entries(self, chunks: Iterable[str]) -> dict[str, tuple[int, str, str]]:
-        pieces, words = {c: self._pieces(c) for c in chunks}, self.words
-        new = {p for ps in pieces.values() for p in ps if p not in words and p not in words.old}
-        words.add({w: self._entry(ids) for w, ids in self.trie.encode(new).items()})
-        out = {}
-        for c, ps in pieces.items():
-            if len(ps) == 1:
-                out[c] = words[ps[0]]
-            else:
-                parts = [words[p] for p in ps]
-                out[c] = (sum([x[0] for x in parts]), " ".join([x[1] for x in parts]), " ".join([x[2] for x in parts]))
-        return out
+    def _entry(self, chunk: str) -> tuple[int, str, str]:
+        if chunk in self.added:
+            return 1, str(self.added[chunk]), chunk
+        parts = [self.words[p] for p in self._pieces(chunk)]
+        if len(parts) == 1:
+            return parts[0]
+        return sum([x[0] for x in parts]), " ".join([x[1] for x in parts]), " ".join([x[2] for x in parts])
 
     def chunks(self, text: str) -> list[str]:
         """Parts of the text, cut at white space and added tokens, that are encoded on their own."""
@@ -211,20 +209,18 @@ class TextEncoder:
             return [c for c in cut(text) if c] if cut is not str.split else text.split()
         return [c for part in self.split_added.split(text) for c in ([part] if part in self.added else cut(part)) if c]
 
-    def learn(self, chunks: Iterable[str]) -> None:
-        """Encode the chunks not met before together, so that they share one trie."""
-        memo = self.memo
-        new = [c for c in chunks if c not in memo and c not in memo.old]
-        added = {c: self._entry([self.added[c]]) for c in new if c in self.added}
-        memo.add(self._entries([c for c in new if c not in added]) | added)
+    def encode_text(self, text: str) -> tuple[int, str, str]:
+        """Number, ids and names of a text's tokens, both joined by a space."""
+        entries = list(map(self.memo.__getitem__, self.chunks(text)))
+        if not entries:
+            return 0, "", ""
+        counts, ids, names = zip(*entries)
+        return sum(counts), " ".join(ids), " ".join(names)
 
-    def encode_block(self, texts: list[str]) -> Iterator[list[tuple[int, str, str]]]:
+    def encode_block(self, texts: Iterable[str]) -> Iterator[list[tuple[int, str, str]]]:
         """For each text the entries (count, ids, tokens) of its chunks."""
-        cut = [self.chunks(t) for t in texts]
-        self.learn(set().union(*cut))
-        get = self.memo.__getitem__
-        for chunks in cut:
-            yield list(map(get, chunks))
+        for text in texts:
+            yield list(map(self.memo.__getitem__, self.chunks(text)))
 
     def decode(self, ids: list[int]) -> str:
         """The file names no decoder, so a decoded text is its tokens joined by a space."""
@@ -254,9 +250,8 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
             for at in range(0, whole.num_rows, BLOCK_ROWS):
                 batch = whole.slice(at, BLOCK_ROWS)
                 n, ids, decoded = [], [], []
-                for entries in encoder.encode_block(batch.column(1).to_pylist()):
-                    n.append(sum([e[0] for e in entries]))
-                    line, text = " ".join([e[1] for e in entries]), " ".join([e[2] for e in entries])
+                for count, line, text in map(encoder.encode_text, batch.column(1).to_pylist()):
+                    n.append(count)
                     if digests:
                         ids.append(hashlib.sha256(line.encode()).hexdigest())
                         decoded.append(hashlib.sha256(text.encode()).hexdigest())

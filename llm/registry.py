@@ -65,14 +65,11 @@ class Memo(dict):
         value = self.old.get(key)
         if value is None:
             value = self.work(key)
-        self.add({key: value})
-        return value
-
-    def add(self, values: dict) -> None:
-        if len(self) + len(values) > self.limit:
+        if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
-        self.update(values)
+        self[key] = value
+        return value
 
 
 def sorted_groups(batches, keys: list[str]):

@@ -4,8 +4,12 @@ import random
 import tracemalloc
 
 import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
 
-from llm import toxicity
+from llm import bpe, toxicity
+
+WORD = public_tokenizers.path("word_bpe_49k.json")
 
 
 def test_training_takes_little_beside_the_words(monkeypatch):
@@ -30,3 +34,25 @@ def test_training_in_pieces_is_training_at_once(monkeypatch):
     whole = toxicity.train(texts, toxic)
     monkeypatch.setattr(toxicity, "PIECE", 7)
     assert all(np.array_equal(a, b) for a, b in zip(whole, toxicity.train(texts, toxic)))
+
+
+def test_bpe_makes_few_nodes_for_unlike_words():
+    rng = random.Random(7)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(8, 30))) for _ in range(500)]
+    encoder = bpe.TextEncoder(WORD)
+    entries = [e for block in encoder.encode_block(words) for e in block]
+    library = Tokenizer.from_file(WORD)
+    assert [e[1] for e in entries] == [" ".join(map(str, library.encode(w, add_special_tokens=False).ids)) for w in words]
+    prefixes = {w[:k] for w in words for k in range(1, len(w))}
+    assert len(encoder.trie.nodes) < 0.75 * len(prefixes)
+
+
+def test_bpe_of_words_about_the_longest_with_nodes():
+    rng = random.Random(8)
+    encoder, library = bpe.TextEncoder(WORD), Tokenizer.from_file(WORD)
+    texts = ["".join(rng.choice("aehnst") for _ in range(bpe.LONG_WORD + d)) + end for d in (-2, -1, 0, 1, 2, 500) for end in ("", "é", "!,", "7", "中")]
+    texts += ["e" * 30_000, "Straße.", "ÉTÉ,", "été's", "İx", "<|endoftext|>", "a<|endoftext|>b", ""]
+    for text in texts:
+        count, ids, tokens = encoder.encode_text(text)
+        want = library.encode(text, add_special_tokens=False).ids
+        assert (count, ids, tokens) == (len(want), " ".join(map(str, want)), library.decode(want, skip_special_tokens=False))
