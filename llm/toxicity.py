@@ -18,7 +18,9 @@ from __future__ import annotations
 
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -41,8 +43,14 @@ THRESHOLD = 0.7
 MEMO_WORDS = 300_000
 #: Words, n-grams or buckets that training holds as floating-point numbers at a time.
 PIECE = 1 << 16
-#: Signs that stand for letters inside words.
+#: Words that scoring looks up at a time, and characters of unknown words whose n-grams are hashed at a time.
+BLOCK_WORDS, BLOCK_CHARS = 1 << 16, 1 << 17
+#: Signs left out at the ends of words, and signs that stand for letters inside them.
+MARKS = '.,;:!?"\'()[]{}<>*#&%$|-_/~`'
 LOOKALIKES = str.maketrans("013457@$!", "oieastasi")
+LETTERS = np.array([ord(chr(k).translate(LOOKALIKES)) for k in range(0x80)], np.uint32)
+#: What a byte does to a CRC-32.
+CRC_TABLE = np.array([zlib.crc32(bytes([255 ^ b])) for b in range(256)], np.uint32) ^ np.uint32(0xFF000000)
 
 
 class Model(NamedTuple):
@@ -55,13 +63,58 @@ class Model(NamedTuple):
         return (self.vectors @ (self.layer[:, 1] - self.layer[:, 0])).astype(np.float32)
 
 
+def _marked(word: str) -> str:
+    return f"<{word.lower().strip(MARKS) or word}>"
+
+
 def buckets(word: str) -> list[int]:
     """Buckets of a word's n-grams; case and marks at its ends are left out."""
-    bare = word.lower().strip('.,;:!?"\'()[]{}<>*#&%$|-_/~`')
-    marked = f"<{(bare or word).translate(LOOKALIKES)}>"
+    marked = _marked(word).translate(LOOKALIKES)
     return [zlib.crc32(marked[i:i + n].encode()) % BUCKETS for n in GRAMS for i in range(max(1, len(marked) - n + 1))]
 
 
+def _utf8(signs: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """How many bytes each code point has, and its first byte, second byte and so on, as far as any has one."""
+    widths = 1 + (signs >= 0x80).astype(np.int8) + (signs >= 0x800) + (signs >= 0x10000)
+    lead = np.array([0, 0, 0xC0, 0xE0, 0xF0], np.uint32)[widths]
+    shifted = (signs >> (6 * np.maximum(widths - 1 - k, 0)).astype(np.uint32) for k in range(widths.max()))
+    return widths, [bits & 0x3F | 0x80 if k else bits | lead for k, bits in enumerate(shifted)]
+
+
+def _buckets_of_alike(marked: list[str]) -> np.ndarray:
+    """One row per word, the same as ``buckets``; all are of the same length. The n-grams of all places are hashed together."""
+    length = len(marked[0])
+    signs = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32).reshape(-1, length)
+    signs = np.where(signs < 0x80, LETTERS[signs & 0x7F], signs)
+    widths, in_bytes = _utf8(signs)
+    state = np.full(signs.shape, 0xFFFFFFFF, np.uint32)
+    found = []
+    for n in range(1, max(GRAMS) + 1):
+        if n <= length:
+            state = state[:, :length - n + 1]
+            for k, of_byte in enumerate(in_bytes):
+                after = CRC_TABLE[(state ^ of_byte[:, n - 1:]) & 0xFF] ^ (state >> 8)
+                state = after if k == 0 else np.where(widths[:, n - 1:] > k, after, state)
+        if n in GRAMS:
+            found.append(~state % BUCKETS)
+    return np.concatenate(found, axis=1)
+
+
+def word_scores(words: Iterable[str], added: np.ndarray) -> dict[str, float]:
+    """The mean of ``added`` over the buckets of each word."""
+    alike = defaultdict(list)
+    for word in words:
+        marked = _marked(word)
+        alike[len(marked)].append((word, marked))
+    scores = {}
+    for length, pairs in alike.items():
+        rows = max(1, BLOCK_CHARS // length)
+        for at in range(0, len(pairs), rows):
+            some, marked = zip(*pairs[at:at + rows])
+            scores.update(zip(some, added[_buckets_of_alike(marked)].mean(axis=1).tolist()))
+    return scores
+
+
 def _pieces(length: int) -> Iterator[slice]:
     """Slices that cover ``length`` entries, each of a bounded size."""
     return (slice(at, min(at + PIECE, length)) for at in range(0, length, PIECE))
@@ -196,6 +249,48 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     return train(texts, toxic) if len(set(toxic)) == 2 else None
 
 
+class TextScorer:
+    """Scores of whole texts; words in steady use are remembered, the others of a block are worked out together."""
+
+    def __init__(self, added: np.ndarray, bias: float):
+        self.added, self.bias, self.fresh = added, bias, {}
+        self.memo = Memo(self._word, MEMO_WORDS)
+
+    def _word(self, word: str) -> float:
+        value = self.fresh.get(word)
+        return word_scores([word], self.added)[word] if value is None else value  # forgotten since its block began
+
+    def _values(self, words: list[str]) -> np.ndarray:
+        values = np.empty(len(words))
+        for at in range(0, len(words), BLOCK_WORDS):
+            block = words[at:at + BLOCK_WORDS]
+            self.fresh = word_scores(set(block).difference(self.memo).difference(self.memo.old), self.added)
+            values[at:at + len(block)] = np.fromiter(map(self.memo.__getitem__, block), np.float64, len(block))
+        return values
+
+    def _text(self, values: np.ndarray) -> float:
+        if not len(values):
+            return 0.0
+        size = min(WINDOW, len(values))
+        sums = np.concatenate([[0.0], np.cumsum(values)])
+        best = (sums[size:] - sums[:-size]).max() / size + self.bias
+        return float(1 / (1 + np.exp(-np.clip(best, -30, 30))))
+
+    def _block(self, texts: list[list[str]]) -> list[float]:
+        ends = np.cumsum([len(words) for words in texts])
+        return [self._text(values) for values in np.split(self._values(list(chain.from_iterable(texts))), ends[:-1])]
+
+    def scores(self, texts: Iterable[str]) -> list[float]:
+        scores, held, words = [], [], 0
+        for text in texts:
+            held.append(text.split())
+            words += len(held[-1])
+            if words >= BLOCK_WORDS:
+                scores += self._block(held)
+                held, words = [], 0
+        return scores + (self._block(held) if held else [])
+
+
 def score(docs: DataFrame, model: Model | None, columns: list[str]) -> DataFrame:
     """``columns`` of all rows with ``score`` (0 to 1) of the whole text; a column ``score`` is replaced."""
     if model is None:
@@ -205,20 +300,9 @@ def score(docs: DataFrame, model: Model | None, columns: list[str]) -> DataFrame
     schema = docs.select(*columns).withColumn("score", F.lit(0.0)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(lambda word: float(added[buckets(word)].mean()), MEMO_WORDS)
-        get = memo.__getitem__
+        scorer = TextScorer(added, bias)
         for batch in batches:
-            scores = []
-            for text in batch.column(batch.num_columns - 1):
-                words = text.as_py().split()
-                if not words:
-                    scores.append(0.0)
-                    continue
-                values = np.fromiter(map(get, words), np.float64, len(words))
-                size = min(WINDOW, len(words))
-                sums = np.concatenate([[0.0], np.cumsum(values)])
-                best = (sums[size:] - sums[:-size]).max() / size + bias
-                scores.append(float(1 / (1 + np.exp(-np.clip(best, -30, 30)))))
+            scores = scorer.scores(text.as_py() for text in batch.column(batch.num_columns - 1))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*columns, "score"])
 
     return docs.select(*columns, text_or_empty().alias("text_")).mapInArrow(run, schema)
