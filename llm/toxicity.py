@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.registry import Memo, query, stored, table, text_or_empty
+from llm.registry import query, stored, table, text_or_empty
 
 PER_LABEL = 2000
 TRAIN_BYTES = 10_000
@@ -40,11 +40,11 @@ ROUNDS = 100
 RATE = 0.6
 MIN_TEXTS = 4
 THRESHOLD = 0.7
-MEMO_WORDS = 300_000
+MEMO_WORDS = 150_000
 #: Words, n-grams or buckets that training holds as floating-point numbers at a time.
 PIECE = 1 << 16
 #: Words that scoring looks up at a time, and characters of unknown words whose n-grams are hashed at a time.
-BLOCK_WORDS, BLOCK_CHARS = 1 << 16, 1 << 17
+BLOCK_WORDS, BLOCK_CHARS = 1 << 15, 1 << 16
 #: Signs left out at the ends of words, and signs that stand for letters inside them.
 MARKS = '.,;:!?"\'()[]{}<>*#&%$|-_/~`'
 LOOKALIKES = str.maketrans("013457@$!", "oieastasi")
@@ -250,22 +250,23 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
 
 
 class TextScorer:
-    """Scores of whole texts; words in steady use are remembered, the others of a block are worked out together."""
+    """Scores of whole texts. Values of words are remembered in two generations, at most ``MEMO_WORDS`` in each unless a
+    block has more; those that a block lacks are worked out together. Nothing depends on what is remembered."""
 
     def __init__(self, added: np.ndarray, bias: float):
-        self.added, self.bias, self.fresh = added, bias, {}
-        self.memo = Memo(self._word, MEMO_WORDS)
-
-    def _word(self, word: str) -> float:
-        value = self.fresh.get(word)
-        return word_scores([word], self.added)[word] if value is None else value  # forgotten since its block began
+        self.added, self.bias, self.young, self.old = added, bias, {}, {}
 
     def _values(self, words: list[str]) -> np.ndarray:
         values = np.empty(len(words))
         for at in range(0, len(words), BLOCK_WORDS):
             block = words[at:at + BLOCK_WORDS]
-            self.fresh = word_scores(set(block).difference(self.memo).difference(self.memo.old), self.added)
-            values[at:at + len(block)] = np.fromiter(map(self.memo.__getitem__, block), np.float64, len(block))
+            distinct = set(block)
+            if len(self.young) + len(distinct) > MEMO_WORDS:
+                self.young, self.old = {}, self.young
+            young, old = self.young, self.old
+            young.update([(word, old[word]) for word in distinct if word in old])
+            young.update(word_scores([word for word in distinct if word not in young], self.added))
+            values[at:at + len(block)] = np.fromiter(map(young.__getitem__, block), np.float64, len(block))
         return values
 
     def _text(self, values: np.ndarray) -> float:
